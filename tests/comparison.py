@@ -1,0 +1,43 @@
+"""Row-by-row comparison of a Spark result with DuckDB's."""
+
+import math
+from collections import Counter
+from decimal import Decimal
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+
+
+def duckdb_on(sf_dir):
+    import duckdb
+
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return connection
+
+
+def _kind(value):
+    # Type and value: 1, 1.0, True and Decimal(1) are all equal in Python but not here.
+    if isinstance(value, float) and math.isnan(value):
+        return ("float", "nan")
+    if isinstance(value, Decimal):
+        return ("decimal", str(value))
+    return (type(value).__name__, value)
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_kind(row[i]) for i in order) for row in rows)
+
+
+def spark_bag(frame):
+    return sorted(frame.columns), bag(frame.columns, [tuple(row) for row in frame.collect()])
+
+
+def duckdb_bag(connection, sql):
+    cursor = connection.execute(sql)
+    columns = [d[0] for d in cursor.description]
+    return sorted(columns), bag(columns, cursor.fetchall())
