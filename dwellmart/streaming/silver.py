@@ -10,6 +10,7 @@ a time is assumed.
 """
 
 import zlib
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -43,6 +44,16 @@ def silver_rows(bronze: DataFrame) -> DataFrame:
     return bronze.withColumns({name: clean(F.col(name)) for name, clean in typed.items()})
 
 
+def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or ``None`` if there is nothing at its path."""
+    try:
+        return read()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 class SilverTable:
     """The stored Silver table at ``path``.
 
@@ -59,11 +70,9 @@ class SilverTable:
         self.buckets = self._settle_buckets(spark, buckets)
 
     def _settle_buckets(self, spark: SparkSession, wanted: int) -> int:
-        try:
-            return spark.read.schema(_LAYOUT).json(self.layout).first().buckets
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        layout = _if_present(lambda: spark.read.schema(_LAYOUT).json(self.layout))
+        if layout is not None:
+            return layout.first().buckets
         spark.createDataFrame([(wanted,)], _LAYOUT).coalesce(1).write.json(self.layout)
         return wanted
 
@@ -78,7 +87,8 @@ class SilverTable:
             f"CLUSTERED BY ({', '.join(SALE_KEY)}) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.data}'"
         )
-        spark.catalog.recoverPartitions(self.name)
+        if _if_present(lambda: self.read(spark)) is not None:
+            spark.catalog.recoverPartitions(self.name)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The sales, without the two columns of the file layout."""
