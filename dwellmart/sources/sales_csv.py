@@ -40,12 +40,18 @@ def every_record_on_one_line(spark: SparkSession, path: str) -> bool:
     return lines.where(F.col("value").contains('"') & leftover.contains('"')).isEmpty()
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    line = spark.read.option("encoding", "ISO-8859-1").option("lineSep", "\n").text(path).first()
+    return "" if line is None else line.value
+
+
 def scan_sales_csv(spark: SparkSession, path: str, split_files: bool | None = None) -> DataFrame:
     """Read a file or folder into the nine raw columns, by header name, all strings.
 
     An empty cell is an empty string, a column that the header lacks is NULL, extra columns are left out
     and a missing path fails. Records that run over several lines can only be read one task per file;
-    ``split_files=None`` looks first whether there are any, ``True`` and ``False`` skip that look.
+    ``split_files=None`` looks first whether there are any, ``True`` and ``False`` skip that look. Lines end
+    as the header line does.
     """
     if split_files is None:
         split_files = every_record_on_one_line(spark, path)
@@ -57,6 +63,9 @@ def scan_sales_csv(spark: SparkSession, path: str, split_files: bool | None = No
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
     )
+    if not split_files and _first_line(spark, path).endswith("\r"):
+        # Left to find the ending by itself, the parser would turn CRLF inside cells into LF.
+        reader = reader.option("lineSep", "\r\n")
     # Without inference this reads the header line only. Declaring its columns and switching enforcement
     # off makes any other file of the folder fail when its header differs, instead of mixing columns up.
     found = reader.csv(path)

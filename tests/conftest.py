@@ -1,0 +1,35 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from dwellmart.session import build_session, shared_folder  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__ui__enabled="false",
+        spark__driver__memory="4g",
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(spark):
+    """A new folder for one test."""
+    return shared_folder(spark, "test")
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SMALL

@@ -1,0 +1,41 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from dwellmart.functions import cleaning
+from dwellmart.session import session_conf
+
+
+def apply(spark, clean, values):
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    return [r.out for r in rows.select("i", clean(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_dates_need_two_digit_day_and_month(spark, ansi):
+    with session_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        got = apply(spark, cleaning.sale_date, ["01/02/2020", "1/2/2020", "31/02/2020", "n/a", "", None])
+    assert got == [date(2020, 2, 1), None, None, None, None, None]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_prices_keep_digits_and_dots_only(spark, ansi):
+    texts = ["€1,234.00", "", "1.2.3", "99999999999.99", "1.005", "-5", "abc", None, "9999999999.99"]
+    with session_conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        got = apply(spark, cleaning.price, texts)
+    assert got == [
+        Decimal("1234.00"), None, None, None, Decimal("1.01"), Decimal("5.00"), None, None, Decimal("9999999999.99"),
+    ]
+
+
+def test_flags_are_case_sensitive_and_keep_null(spark):
+    assert apply(spark, cleaning.yes_flag, ["Yes", "yes", "No", "", " Yes", None]) == [
+        True, False, False, False, False, None,
+    ]
+
+
+def test_only_plain_spaces_are_tidied(spark):
+    texts = ["  a   b ", "\ta b\t", " a", "a\n  b", "", "   ", None]
+    assert apply(spark, cleaning.tidy_spaces, texts) == ["a b", "\ta b\t", " a", "a\n b", "", "", None]

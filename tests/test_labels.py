@@ -1,0 +1,29 @@
+import random
+
+from pyspark.sql import functions as F
+
+from dwellmart.functions.labels import change_label, euro_label
+
+
+def labels(spark, label, values):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    return [r.out for r in rows.select("i", label(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+def numbers(seed, low, high, digits):
+    draw = random.Random(seed)
+    return [round(draw.uniform(low, high), digits) for _ in range(2000)]
+
+
+def test_euro_label_matches_python_formatting(spark):
+    values = [0.0, 0.5, 1.5, 2.5, 999.5, 1000.0, 312500.25, 1234567.5, *numbers(1, 0, 5e6, 1)]
+    assert labels(spark, euro_label, values) == [f"€{v:,.0f}" for v in values]
+
+
+def test_change_label_matches_python_formatting(spark):
+    values = [0.0, -0.0, 2.25, 2.35, 2.15, -2.25, -0.04, 0.05, 1234.56, -1234.55, *numbers(2, -300, 300, 2)]
+    assert labels(spark, change_label, values) == [f"{v:+.1f}% YoY" for v in values]
+
+
+def test_change_label_without_earlier_row(spark):
+    assert labels(spark, change_label, [None]) == ["first year on record"]

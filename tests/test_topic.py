@@ -1,0 +1,67 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from dwellmart.schemas import ENVELOPE_SCHEMA, HEADERS, RAW_SCHEMA
+from dwellmart.sources.topic import message_key, publish, read_topic, stream_topic, to_envelopes
+
+
+def raw(spark, *rows):
+    return spark.createDataFrame([tuple(r) + (None,) * (9 - len(r)) for r in rows], RAW_SCHEMA)
+
+
+def test_envelope_columns_and_json(spark):
+    frame = to_envelopes(raw(spark, ("01/02/2020", 'The "Old" House', "Dublin", "", "€5")), "sales", partitions=4)
+    assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in ENVELOPE_SCHEMA]
+    row = frame.first()
+    value = json.loads(bytes(row.value).decode("utf-8"))
+    assert list(value) == list(HEADERS)
+    assert value["Address"] == 'The "Old" House' and value["Price (€)"] == "€5"
+    assert value["Property Size Description"] is None
+    assert bytes(row.key).decode() == 'The "Old" House-01/02/2020'
+    assert row.topic == "sales" and 0 <= row.partition < 4
+
+
+@pytest.mark.parametrize(
+    "cells, key", [(("01/02/2020", "A"), "A-01/02/2020"), (("01/02/2020", None), "-01/02/2020"), (("", ""), "-")]
+)
+def test_message_key(spark, cells, key):
+    assert raw(spark, cells).select(message_key().alias("k")).first().k == key
+
+
+def test_missing_date_falls_back_to_a_row_id(spark):
+    keys = [r.k for r in raw(spark, (None, "A"), (None, "A")).select(message_key().alias("k")).collect()]
+    assert len(set(keys)) == 2 and all(k.startswith("A-") for k in keys)
+
+
+def test_publish_appends_and_counts(spark, folder):
+    rows = raw(spark, ("01/02/2020", "A"), ("01/02/2020", "B"))
+    assert (publish(rows, folder, "sales").sent, publish(rows, folder, "sales").failed) == (2, 0)
+    topic = read_topic(spark, folder)
+    assert topic.count() == 4
+    # Equal keys share a partition, as they would in a broker.
+    assert topic.groupBy("key").agg(F.count_distinct("partition").alias("n")).where("n > 1").isEmpty()
+
+
+def test_a_row_that_cannot_be_written_fails_the_job(spark, folder):
+    rows = raw(spark, ("01/02/2020", "A")).withColumn("Eircode", F.raise_error(F.lit("broken cell")).cast("string"))
+    with pytest.raises(Exception, match="broken cell"):
+        publish(rows, folder, "sales")
+
+
+def test_encoding_shuffles_nothing(spark, sf_dir):
+    from dwellmart.sources.sales_csv import scan_sales_csv, write_sales_csv
+    from dwellmart.session import shared_folder
+    from dwellmart.sources.surrogate import raw_sales
+
+    path = shared_folder(spark, "csv")
+    write_sales_csv(raw_sales(spark, sf_dir, deliveries=1), path)
+    plan = to_envelopes(scan_sales_csv(spark, path, True), "sales")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_kafka_is_passed_through(spark):
+    # The connector is not installed here: the request has to reach Spark's own lookup of it.
+    with pytest.raises(Exception, match="(?i)kafka"):
+        stream_topic(spark, "sales", format="kafka", **{"kafka.bootstrap.servers": "broker:9092"})
