@@ -1,0 +1,57 @@
+from decimal import Decimal
+
+import pytest
+
+from dwellmart.plans.mart import STAGING, build_mart
+from dwellmart.schemas import GOLD_SCHEMA, MART_SCHEMA
+
+
+def gold(spark, *rows):
+    full = [(county, year, kind, 1, Decimal(1), median, Decimal(1), Decimal(1)) for county, year, kind, median in rows]
+    return spark.createDataFrame(full, GOLD_SCHEMA)
+
+
+def changes(spark, *rows):
+    mart = build_mart(spark, gold(spark, *rows)).orderBy("county", "property_type", "year")
+    return [(r.year, r.median_price_change_eur, r.median_price_change_pct) for r in mart.collect()]
+
+
+def test_prior_is_the_previous_row_across_a_gap(spark):
+    got = changes(spark, ("Cork", 2010, "House", 100.0), ("Cork", 2012, "House", 150.0), ("Cork", 2013, "House", 120.0))
+    assert got == [(2010, None, None), (2012, 50.0, 50.0), (2013, -30.0, -20.0)]
+
+
+def test_null_year_comes_first(spark):
+    got = changes(spark, ("Cork", 2010, "House", 100.0), ("Cork", None, "House", 80.0))
+    assert got == [(None, None, None), (2010, 20.0, 25.0)]
+
+
+def test_series_do_not_mix(spark):
+    got = changes(spark, ("Cork", 2010, "House", 100.0), ("Cork", 2011, "Flat", 150.0), ("Mayo", 2012, "House", 1.0))
+    assert [c for _, c, _ in got] == [None, None, None]
+
+
+def test_percent_is_rounded_to_two_places(spark):
+    assert changes(spark, ("Cork", 2010, "House", 3.0), ("Cork", 2011, "House", 4.0))[1] == (2011, 1.0, 33.33)
+
+
+def test_prior_of_zero_is_an_error(spark):
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        changes(spark, ("Cork", 2010, "House", 0.0), ("Cork", 2011, "House", 4.0))
+
+
+def test_null_median_gives_no_change(spark):
+    got = changes(spark, ("Cork", 2010, "House", 5.0), ("Cork", 2011, "House", None), ("Cork", 2012, "House", 6.0))
+    assert [c for _, c, _ in got] == [None, None, None]
+
+
+def test_schema_and_staging_view(spark):
+    mart = build_mart(spark, gold(spark, ("Cork", 2010, "House", 1.0)))
+    assert [(f.name, f.dataType) for f in mart.schema] == [(f.name, f.dataType) for f in MART_SCHEMA]
+    assert spark.table(STAGING).columns == MART_SCHEMA.names[:8]
+
+
+def test_filters_on_a_series_reach_the_scan(spark, folder):
+    gold(spark, ("Cork", 2010, "House", 1.0)).write.parquet(folder)
+    mart = build_mart(spark, spark.read.parquet(folder)).where("county = 'Cork'")
+    assert "EqualTo(county,Cork)" in mart._jdf.queryExecution().executedPlan().toString()
