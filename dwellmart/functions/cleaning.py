@@ -37,4 +37,4 @@ def yes_flag(text: Column) -> Column:
 
 def tidy_spaces(text: Column) -> Column:
     """One space between words and none around them. Only U+0020 counts: tabs and NBSP stay."""
-    return F.trim(F.regexp_replace(text, " +", " "))
+    return F.trim(F.regexp_replace(text, " {2,}", " "))

@@ -14,6 +14,7 @@ from dwellmart.sources.tables import read_table, replace_table, stream_table
 from dwellmart.sources.topic import Published, publish, stream_topic
 from dwellmart.streaming.bronze import start_bronze
 from dwellmart.streaming.silver import SilverTable, start_silver
+from dwellmart.streaming.triggers import PERIOD
 
 logger = logging.getLogger(__name__)
 
@@ -25,12 +26,19 @@ class Store:
     root: str
     topic_name: str = "property_sales"
     buckets: int = 64
-    # Passed to the two streaming reads, such as {"maxFilesPerTrigger": 1000} to bound a micro-batch.
+    # Bounds on a micro-batch of the Silver stream, such as {"maxFilesPerTrigger": 1000}.
     read_options: dict = field(default_factory=dict)
+    # "kafka" with its connection options, where that package is installed.
+    topic_format: str = "parquet"
+    topic_options: dict = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    @property
+    def topic(self) -> str:
+        return self.topic_name if self.topic_format == "kafka" else self.path("topic")
+
     def checkpoint(self, stage: str) -> str:
         return self.path(f"checkpoints/{stage}")
 
@@ -39,14 +47,22 @@ class Store:
 
 
 def publish_job(raw: DataFrame, store: Store) -> Published:
-    outcome = publish(raw, store.path("topic"), store.topic_name)
+    outcome = publish(
+        raw, store.topic, store.topic_name, format=store.topic_format, **_connection(store.topic_options)
+    )
     logger.info("published %d rows, %d failed", outcome.sent, outcome.failed)
     return outcome
 
 
-def bronze_job(spark: SparkSession, store: Store) -> None:
-    envelopes = stream_topic(spark, store.path("topic"), **store.read_options)
-    start_bronze(envelopes, store.path("bronze"), store.checkpoint("bronze")).awaitTermination()
+def _connection(options: dict) -> dict:
+    """The options a writer shares with a reader: where the brokers are, not how much to read."""
+    return {name: value for name, value in options.items() if name.startswith("kafka.")}
+
+
+def bronze_job(spark: SparkSession, store: Store, mode: str = "once", period: str = PERIOD) -> None:
+    """Take in new messages; in a mode other than ``once`` this runs until it is stopped."""
+    envelopes = stream_topic(spark, store.topic, format=store.topic_format, **store.topic_options)
+    start_bronze(envelopes, store.path("bronze"), store.checkpoint("bronze"), mode, period).awaitTermination()
 
 
 def silver_job(spark: SparkSession, store: Store) -> None:
@@ -72,6 +88,11 @@ def mart_job(spark: SparkSession, store: Store) -> int:
     return replace_table(build_mart(spark, source), store.path("mart"))
 
 
+def check_job(spark: SparkSession, store: Store) -> None:
+    """Fail if a required column of the mart holds NULLs."""
+    require_filled(read_mart(spark, store))
+
+
 def read_mart(spark: SparkSession, store: Store) -> DataFrame:
     return read_table(spark, store.path("mart"), MART_SCHEMA)
 
@@ -89,7 +110,6 @@ def run_pipeline(spark: SparkSession, sales: str | DataFrame, store: Store, chec
     gold_job(spark, store)
     warehouse_job(spark, store)
     mart_job(spark, store)
-    mart = read_mart(spark, store)
     if check:
-        require_filled(mart)
-    return mart
+        check_job(spark, store)
+    return read_mart(spark, store)
