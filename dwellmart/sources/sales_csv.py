@@ -25,23 +25,25 @@ _TO_LATIN1 = str.maketrans({cp: latin1 for latin1, cp in _CP1252_OF_LATIN1.items
 
 
 def _cp1252_text(cell: Column) -> Column:
-    return F.translate(cell, _LATIN1_CHARS, _CP1252_CHARS)
+    # Plain ASCII, by far the most cells, has one byte per character and needs no look at each of them.
+    ascii_only = F.octet_length(cell) == F.char_length(cell)
+    return F.when(ascii_only, cell).otherwise(F.translate(cell, _LATIN1_CHARS, _CP1252_CHARS))
 
 
 def every_record_on_one_line(spark: SparkSession, path: str) -> bool:
     """Whether each line of the files holds whole records, so that a file may be split between tasks.
 
-    A line does so when nothing is left of its quotes after all well-formed quoted cells are removed. The
+    A line does so when it consists of cells that are quoted from end to end or have no quote at all. The
     check reads the text in parallel, stops at the first line that fails and brings back one boolean.
     """
-    quoted_cell = r'(?<=^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
-    leftover = F.regexp_replace("value", quoted_cell, "")
-    lines = spark.read.option("encoding", "ISO-8859-1").text(path)
-    return lines.where(F.col("value").contains('"') & leftover.contains('"')).isEmpty()
+    cell = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+    value = F.col("value")
+    lines = spark.read.text(path)
+    return lines.where(value.contains('"') & ~value.rlike(f"^{cell}(?:,{cell})*+$")).isEmpty()
 
 
 def _first_line(spark: SparkSession, path: str) -> str:
-    line = spark.read.option("encoding", "ISO-8859-1").option("lineSep", "\n").text(path).first()
+    line = spark.read.option("lineSep", "\n").text(path).first()
     return "" if line is None else line.value
 
 
