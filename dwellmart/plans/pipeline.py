@@ -72,7 +72,8 @@ def silver_job(spark: SparkSession, store: Store) -> None:
 
 def gold_job(spark: SparkSession, store: Store) -> int:
     """Recompute the summary from all of Silver and replace the stored one."""
-    return replace_table(summarise_prices(store.silver(spark).read(spark)), store.path("gold"))
+    summary = summarise_prices(store.silver(spark).read(spark), store.path("gold_first_pass"))
+    return replace_table(summary, store.path("gold"))
 
 
 def warehouse_job(spark: SparkSession, store: Store) -> int:

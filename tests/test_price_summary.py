@@ -98,13 +98,15 @@ def test_one_group_holding_most_rows(spark):
     assert spark_bag(summarise_prices(sales)) == spark_bag(built_in(sales))
 
 
-def test_sales_are_shuffled_once(spark, folder):
+def test_sales_are_combined_before_every_shuffle(spark, folder):
     prices(spark, "1.00", "2.00").write.parquet(folder)
-    got = summarise_prices(spark.read.parquet(folder))
-    got.collect()
-    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    plan = summarise_prices(spark.read.parquet(folder))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    # From the scan upwards: join with the middle bins, partial count, and only then the first shuffle.
+    lines = [line.strip(" :+-*()0123456789") for line in plan.splitlines()]
+    shuffle = max(i for i, line in enumerate(lines) if line.startswith("Exchange"))
+    assert lines[shuffle + 1].startswith("HashAggregate") and "partial_count" in lines[shuffle + 1]
 
 
 def test_only_four_columns_are_read(spark, folder):
