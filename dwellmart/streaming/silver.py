@@ -9,7 +9,7 @@ id keeps a new checkpoint, whose batches count from 0 again, from replacing olde
 a time is assumed.
 """
 
-import zlib
+import hashlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -65,7 +65,7 @@ class SilverTable:
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64, null_safe: bool = False):
         self.data = f"{path.rstrip('/')}/data"
         self.layout = f"{path.rstrip('/')}/layout"
-        self.name = f"silver_{zlib.crc32(self.data.encode()):08x}"
+        self.name = f"silver_{hashlib.sha256(self.data.encode()).hexdigest()[:16]}"
         self.null_safe = null_safe
         self.buckets = self._settle_buckets(spark, buckets)
 

@@ -8,6 +8,13 @@ from dwellmart.sources.sales_csv import every_record_on_one_line, scan_sales_csv
 from dwellmart.sources.surrogate import raw_sales
 from tests.comparison import spark_bag
 
+
+@pytest.fixture
+def folder(tmp_path):
+    """These tests write bytes themselves, so they need a folder of this machine."""
+    return str(tmp_path / "csv")
+
+
 HEADER = ",".join(f'"{h}"' for h in HEADERS)
 
 
