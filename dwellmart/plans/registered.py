@@ -75,9 +75,13 @@ def stored_sales(spark: SparkSession, store: Store) -> DataFrame:
     return store.silver(spark).read(spark).select(*SALE_COLUMNS)
 
 
-def rounded(rows: DataFrame, *columns: str) -> DataFrame:
-    """Sums of doubles depend on their order in the last digits; compare six places."""
-    return rows.withColumns({c: F.round(c, 6) for c in columns})
+def rounded(rows: DataFrame) -> DataFrame:
+    """Sums of doubles depend on their order in the last digits.
+
+    A median is a whole number of half cents, so three places show a sum in full.
+    """
+    places = {"_weighted_price_sum": 3, "weighted_median_price_eur": 6}
+    return rows.withColumns({name: F.round(name, digits) for name, digits in places.items()})
 
 
 # --- sources ----------------------------------------------------------------------------------------
@@ -423,7 +427,7 @@ def trend_series(spark, sf):
 @registered
 def weighted_median_by_county_query(spark, sf):
     sums = weighted_median_by_county(mart_of(spark, sf))
-    return rounded(sums, "_weighted_price_sum", "weighted_median_price_eur")
+    return rounded(sums)
 
 
 @registered
@@ -435,7 +439,7 @@ def geo_lookup(spark, sf):
 @registered
 def map_dataset(spark, sf):
     placed = panels.map_dataset(mart_of(spark, sf), property_types=SELECTED_TYPES)
-    return rounded(placed, "_weighted_price_sum", "weighted_median_price_eur")
+    return rounded(placed)
 
 
 @registered
@@ -447,7 +451,7 @@ def underlying_table(spark, sf):
 
 
 @registered
-def pipeline_end_to_end(spark, sf):
+def end_to_end_run(spark, sf):
     """CSV files to mart. The check stays off: unreadable dates leave NULL years, which it would report."""
     path = shared_folder(spark, "csv")
     write_sales_csv(raw_sales(spark, sf), path)
