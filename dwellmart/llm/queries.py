@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwellmart.llm import simhash
+from dwellmart.llm import mixing, packing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,75 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
 @registered
 def op6_simhash_vantage_trees(spark, sf):
     return simhash.near_duplicates(read(spark, sf, "documents"))
+
+
+@registered
+def op8_mixing_blocks(spark, sf):
+    return mixing.taken_words(read(spark, sf, "documents"))
+
+
+ORACLES["op8_mixing_blocks"] = """
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
+),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+numbered AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number FROM sources),
+weighted AS (SELECT *, [5, 2, 1][number % 3 + 1] AS weight, 3 * source_size AS cap FROM numbered),
+ranked AS (SELECT *, row_number() OVER (ORDER BY cap / weight, number) AS place FROM weighted),
+levels AS (
+    SELECT *,
+        ((sum(source_size) OVER () - coalesce(sum(cap) OVER earlier, 0))::BIGINT
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0))::BIGINT) AS level
+    FROM ranked WINDOW earlier AS (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+leveled AS (SELECT *, min_by(level, place) FILTER (level <= cap / weight) OVER () AS open_level FROM levels),
+plan AS (
+    SELECT source, number, source_size,
+        CASE WHEN level > cap / weight THEN cap::DOUBLE ELSE open_level * weight END AS target
+    FROM leveled
+),
+cut AS (
+    SELECT *, floor(target)::BIGINT // source_size AS passes, floor(target)::BIGINT % source_size AS rest,
+        source_size // 1024 AS whole, (source_size + 1023) // 1024 AS blocks
+    FROM plan WHERE source_size > 0
+),
+slots AS (
+    SELECT *, slot // blocks AS pass, slot % blocks AS k
+    FROM (SELECT *, unnest(range(passes * blocks + (rest + 1023) // 1024)) AS slot FROM cut)
+),
+takes AS (
+    SELECT source,
+        CASE WHEN k < whole
+            THEN ([1000000007, 1000000009, 1000000021, 1000000033, 1000000087][number % 5 + 1] * k + number * 7919) % whole
+            ELSE whole END AS block,
+        least(1024, source_size - k * 1024, CASE WHEN pass < passes THEN 1024 ELSE rest - k * 1024 END) AS take
+    FROM slots
+),
+spans AS (
+    SELECT doc_id, source, size, coalesce(sum(size) OVER (
+        PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+    ), 0)::BIGINT AS start
+    FROM sized
+),
+parts AS (
+    SELECT doc_id, source, size, start, unnest(range(start // 1024, (start + size - 1) // 1024 + 1)) AS block
+    FROM spans WHERE size > 0
+),
+taken AS (
+    SELECT doc_id, sum(greatest(0,
+        least(start + size, p.block * 1024 + take) - greatest(start, p.block * 1024)))::BIGINT AS words
+    FROM parts p JOIN takes t ON p.source IS NOT DISTINCT FROM t.source AND p.block = t.block GROUP BY doc_id
+)
+SELECT s.doc_id, s.size, p.source_size, p.target, coalesce(t.words, 0)::BIGINT AS taken
+FROM spans s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source LEFT JOIN taken t ON s.doc_id = t.doc_id
+"""
+
+
+@registered
+def op9_quality_votes(spark, sf):
+    return quality.judge(read(spark, sf, "documents"))
+
+
+@registered
+def op10_packing_windows(spark, sf):
+    return packing.pack(read(spark, sf, "documents"))
