@@ -26,6 +26,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 LOOKS = ("n_lines", "n_capitals", "n_runs", "n_sentences")
 VOTES = (-1, 0, 1)
 ROUNDS = 15
+#: Most that one vote can add to the logarithm of the odds: no rule decides alone.
+MOST_GAIN = math.log(20)
 #: Between what bounds the fit keeps the share of good documents.
 SHARE = (0.5, 0.98)
 
@@ -111,13 +113,10 @@ class Fit:
         """Probability that a document is good, from its vote columns."""
         odds = F.lit(math.log(self.share) - math.log1p(-self.share))
         for rule, good in self.given_good.items():
-            bad = self.given_bad[rule]
-            gain = reduce(
-                lambda case, v: case.when(F.col(rule) == v, math.log(good[v]) - math.log(bad[v])),
-                VOTES[1:],
-                F.when(F.col(rule) == VOTES[0], math.log(good[VOTES[0]]) - math.log(bad[VOTES[0]])),
-            )
-            odds = odds + gain
+            gain = {v: math.log(good[v]) - math.log(self.given_bad[rule][v]) for v in VOTES}
+            for v in VOTES:
+                bounded = min(max(gain[v], -MOST_GAIN), MOST_GAIN)
+                odds = odds + F.when(F.col(rule) == v, bounded).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 

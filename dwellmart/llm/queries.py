@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwellmart.llm import mixing, packing, quality, simhash
+from dwellmart.llm import mixing, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,8 @@ def op9_quality_votes(spark, sf):
 @registered
 def op10_packing_windows(spark, sf):
     return packing.pack(read(spark, sf, "documents"))
+
+
+@registered
+def op5_toxicity_ftrl(spark, sf):
+    return toxicity.scored(read(spark, sf, "documents"), read(spark, sf, "labels"))
