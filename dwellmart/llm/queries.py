@@ -1,12 +1,13 @@
 """The registered queries of this subpackage, each over its whole table, and their SQL where there is any."""
 
+import string
 from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwellmart.llm import mixing, packing, quality, simhash, toxicity
+from dwellmart.llm import mixing, packing, quality, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +116,33 @@ def op10_packing_windows(spark, sf):
 @registered
 def op5_toxicity_ftrl(spark, sf):
     return toxicity.scored(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+@registered
+def op7_url_shift_and(spark, sf):
+    return url_filter.judged(read(spark, sf, "pages"))
+
+
+def _like(glob: str) -> str:
+    escaped = glob.replace("!", "!!").replace("%", "!%").replace("_", "!_").replace("*", "%").replace("'", "''")
+    return f"canonical LIKE '{escaped}' ESCAPE '!'"
+
+
+_FITS = " ".join(
+    f"WHEN {_like(f'*.{host}?{path}*')} THEN ['{host}{path}', '{verdict}']"
+    for verdict, host, path in sorted(url_filter.BASE_RULES, key=lambda rule: -len(rule[1] + rule[2]))
+)
+ORACLES["op7_url_shift_and"] = f"""
+WITH rests AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+),
+texts AS (SELECT *, '.' || host || '?' || path AS canonical FROM parts),
+fits AS (SELECT *, CASE {_FITS} END AS fit FROM texts)
+SELECT page_id, host, path, fit[1] AS rule, coalesce(fit[2],
+    CASE WHEN {' OR '.join(map(_like, url_filter.BLOCK_GLOBS))} THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits
+"""
