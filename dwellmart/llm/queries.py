@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwellmart.llm import mixing, packing, quality, simhash, toxicity, url_filter
+from dwellmart.llm import license_scan, mixing, packing, quality, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +146,8 @@ SELECT page_id, host, path, fit[1] AS rule, coalesce(fit[2],
     CASE WHEN {' OR '.join(map(_like, url_filter.BLOCK_GLOBS))} THEN 'block' ELSE 'allow' END) AS verdict
 FROM fits
 """
+
+
+@registered
+def op3_license_signatures(spark, sf):
+    return license_scan.scanned(read(spark, sf, "documents"))
