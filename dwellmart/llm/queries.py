@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwellmart.llm import license_scan, mixing, packing, quality, simhash, toxicity, url_filter
+from dwellmart.llm import license_scan, mixing, packing, ppm, quality, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,8 @@ FROM fits
 @registered
 def op3_license_signatures(spark, sf):
     return license_scan.scanned(read(spark, sf, "documents"))
+
+
+@registered
+def op4_ppm_scores(spark, sf):
+    return ppm.scored(read(spark, sf, "documents"))
