@@ -1,16 +1,16 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes, and a word baseline.
 
-The corpus is counted as a byte-context trie: how often each byte follows each context of up to three
-bytes. The counts of four-byte grams hold the whole trie, since shorter contexts are their sums; they are
+The corpus is counted as a byte-context trie: how often each byte follows each context of up to five
+bytes. The counts of six-byte grams hold the whole trie, since shorter contexts are their sums; they are
 made for all training texts, each task adding up its own before the shuffle. Texts are framed by bytes
 that UTF-8 never uses: 0xFE stands before a text and 0xFF ends it, so the end of a text is a symbol too.
 
-A byte is coded in the longest context that the model holds. Escape is estimated by method C (as many
-escapes as distinct bytes seen); on escape, the bytes seen in the longer context are excluded from the
+A byte is coded in the longest context that the model holds. Escape is estimated by method D (half an
+escape for each distinct byte seen, taken off that byte's count); on escape, the bytes seen in the longer context are excluded from the
 shorter one, down to order 0 and then to a uniform choice among what is left. The model is pretrained, so
-the probability of a byte after three bytes is a constant. The scorer works them out once for every context
-of two bytes and for the contexts of three bytes that hold at least 1/``CONTEXTS`` of all symbols (so
-there are at most that many) and then only looks them up: 64 MB a table.
+the probability of a byte in a context is a constant. The scorer works them out once for every context of
+two bytes and, at each longer order, for the contexts that hold at least 1/``CONTEXTS`` of all symbols (so
+there are at most that many), and then only looks them up, going down the trie byte by byte.
 
 The baseline looks every word up in the training counts. Words with at least 1/``HEAVY`` of all tokens are
 at most that many and are broadcast; all others meet their counts in a join.
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from dwellmart.llm.stored import fold, stored, text_bytes
 
 FOLDS, HELD_OUT = 5, 1
+DEPTH = 5
 CONTEXTS = 1 << 16
 HEAVY = 200_000
-BEFORE, END = b"\xfe\xfe\xfe", b"\xff"
+BEFORE, END = b"\xfe" * DEPTH, b"\xff"
 #: The end of a text as a token; words are never empty.
 END_TOKEN = b""
 _MOST_COUNTED = 1 << 19
@@ -62,10 +63,12 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def grams_of(framed: np.ndarray) -> np.ndarray:
-    """The four-byte grams of framed texts, as numbers, without those that end in a frame byte before a text."""
-    b = framed.astype(np.uint32)
-    grams = (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
-    return grams[framed[3:] != BEFORE[0]]
+    """The six-byte grams of framed texts, as numbers, without those that end in a frame byte before a text."""
+    b, n = framed.astype(np.int64), len(framed) - DEPTH
+    grams = np.zeros(n, np.int64)
+    for i in range(DEPTH + 1):
+        grams = (grams << 8) | b[i : i + n]
+    return grams[framed[DEPTH:] != BEFORE[0]]
 
 
 def _framed_parts(texts: Iterator[bytes]) -> Iterator[np.ndarray]:
@@ -73,10 +76,10 @@ def _framed_parts(texts: Iterator[bytes]) -> Iterator[np.ndarray]:
     held, size = [], 0
     for text in texts:
         whole = BEFORE + text + END
-        for start in range(0, len(whole) - 3, _BYTES_AT_ONCE):
-            part = whole[start : start + _BYTES_AT_ONCE + 3]
+        for start in range(0, len(whole) - DEPTH, _BYTES_AT_ONCE):
+            part = whole[start : start + _BYTES_AT_ONCE + DEPTH]
             if start:
-                # A part that goes on must stand alone: its first three bytes are context only.
+                # A part that goes on must stand alone: its first bytes are context only.
                 yield np.frombuffer(part, np.uint8)
                 continue
             held.append(part)
@@ -90,10 +93,10 @@ def _framed_parts(texts: Iterator[bytes]) -> Iterator[np.ndarray]:
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     texts = (text for batch in batches for text in batch.column("text").to_pylist())
-    keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["gram", "n"])
 
     for part in _framed_parts(texts):
         new, n = np.unique(grams_of(part), return_counts=True)
@@ -118,18 +121,19 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 # --- the model --------------------------------------------------------------------------------------
 
 
-def _none(kind: type) -> np.ndarray:
-    return np.zeros(0, kind)
+def _no_counts() -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
 @dataclass(frozen=True)
 class Trie:
-    """Counts that the model is made of: three-byte grams, and four-byte grams of the kept contexts."""
+    """Counts that the model is made of, as (grams, counts).
 
-    gram3: np.ndarray = field(default_factory=lambda: _none(np.int64))
-    count3: np.ndarray = field(default_factory=lambda: _none(np.int64))
-    gram4: np.ndarray = field(default_factory=lambda: _none(np.int64))
-    count4: np.ndarray = field(default_factory=lambda: _none(np.int64))
+    ``three``: all three-byte grams; ``longer``: for each order from 3 on, the grams of the kept contexts.
+    """
+
+    three: tuple[np.ndarray, np.ndarray] = field(default_factory=_no_counts)
+    longer: tuple[tuple[np.ndarray, np.ndarray], ...] = ()
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
@@ -142,14 +146,14 @@ def _order(counts: np.ndarray, lower: np.ndarray, unseen: np.ndarray) -> tuple[n
     seen = counts > 0
     left = np.where(seen, 0, lower)
     total, kinds = left.sum(axis=1, keepdims=True), (left > 0).sum(axis=1, keepdims=True)
-    under = np.where(kinds > 0, total + kinds, 1)
+    under = np.where(kinds > 0, 2 * total, 1)
     deeper = np.where(kinds > 0, kinds / under, 1.0)
-    escaped = np.where(seen, 0.0, np.where(left > 0, left / under, deeper * unseen))
+    escaped = np.where(seen, 0.0, np.where(left > 0, (2 * left - 1) / under, deeper * unseen))
     # The suffix may have seen every byte; then nothing is left for deeper orders.
     escaped /= np.maximum(escaped.sum(axis=1, keepdims=True), 1e-300)
     t, q = counts.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True)
-    q = np.where(q == 256, 0, q)
-    here = counts / np.maximum(t + q, 1) + (q / np.maximum(t + q, 1)) * escaped
+    twice = np.maximum(2 * t, 1)
+    here = np.where(q == 256, 2 * counts / twice, np.where(seen, 2 * counts - 1, 0) / twice + q / twice * escaped)
     return np.where(t > 0, here, 0.0), escaped
 
 
@@ -158,7 +162,7 @@ class Model:
 
     def __init__(self, trie: Trie):
         c2 = np.zeros((1 << 16, 256), np.float32)
-        c2.reshape(-1)[trie.gram3] = trie.count3
+        c2.reshape(-1)[trie.three[0]] = trie.three[1]
         c1 = c2.reshape(256, 256, 256).sum(axis=0, dtype=np.float64)
         c0 = c1.sum(axis=0, keepdims=True)
         uniform = np.full((1, 256), 1 / 256)
@@ -176,50 +180,69 @@ class Model:
             none = ~c2[rows].any(axis=1)
             p[none], u[none] = p1[none], u1[none]
             self.order2[rows], escaped2[rows] = np.log10(np.maximum(p, 1e-300)), u
-        contexts = np.unique(trie.gram4 >> 8)
-        self.row3 = np.full(1 << 24, -1, np.int32)
-        self.row3[contexts] = np.arange(len(contexts), dtype=np.int32)
-        self.order3 = np.empty((len(contexts), 256), np.float32)
-        at = np.searchsorted(contexts, trie.gram4 >> 8)
-        by_row = np.argsort(at, kind="stable")
-        for start in range(0, len(contexts), 1024):
-            some = contexts[start : start + 1024]
-            low, high = np.searchsorted(at[by_row], [start, start + len(some)])
-            mine = by_row[low:high]
-            c3 = np.zeros((len(some), 256))
-            c3[at[mine] - start, trie.gram4[mine] & 255] = trie.count4[mine]
-            suffix = some & 0xFFFF
-            p, _ = _order(c3, c2[suffix].astype(np.float64), escaped2[suffix].astype(np.float64))
-            self.order3[start : start + len(some)] = np.log10(np.maximum(p, 1e-300))
+        # At each longer order: the row of a context, by the row of its suffix and the byte before that.
+        self.children: list[np.ndarray] = []
+        self.orders: list[np.ndarray] = []
+        rows, counts, escaped = np.arange(1 << 16), c2, escaped2
+        for order, (grams, n) in enumerate(trie.longer, 3):
+            contexts = np.unique(grams >> 8)
+            suffix, before = contexts & ((1 << 8 * (order - 1)) - 1), contexts >> 8 * (order - 1)
+            parent = np.searchsorted(rows, suffix)
+            child = np.full((len(rows), 256), -1, np.int32)
+            child[parent, before] = np.arange(len(contexts))
+            own = np.zeros((len(contexts), 256), np.float32)
+            own[np.searchsorted(contexts, grams >> 8), grams & 255] = n
+            table, under = np.empty_like(own), np.empty_like(own)
+            for start in range(0, len(contexts), 1024):
+                some = slice(start, start + 1024)
+                above = parent[some]
+                p, u = _order(*(x.astype(np.float64) for x in (own[some], counts[above], escaped[above])))
+                table[some], under[some] = np.log10(np.maximum(p, 1e-300)), u
+            self.children.append(child)
+            self.orders.append(table)
+            rows, counts, escaped = contexts, own, under
 
     def score(self, text: bytes) -> float:
         """Log10 probability of the text and its end."""
         whole = np.frombuffer(BEFORE + text + END, np.uint8)
         total = 0.0
-        for start in range(3, len(whole), _BYTES_AT_ONCE):
-            part = whole[start - 3 : start + _BYTES_AT_ONCE].astype(np.int32)
-            symbol = part[3:]
-            two = (part[1:-2] << 8) | part[2:-1]
-            row = self.row3[(part[:-3] << 16) | two]
-            known = row >= 0
-            total += float(self.order3[row[known], symbol[known]].sum(dtype=np.float64))
-            total += float(self.order2[two[~known], symbol[~known]].sum(dtype=np.float64))
+        for start in range(DEPTH, len(whole), _BYTES_AT_ONCE):
+            part = whole[start - DEPTH : start + _BYTES_AT_ONCE].astype(np.int32)
+            n = len(part) - DEPTH
+            symbol, row = part[DEPTH:], (part[DEPTH - 2 : DEPTH - 2 + n] << 8) | part[DEPTH - 1 : DEPTH - 1 + n]
+            found, place = self.order2[row, symbol], np.arange(n)
+            for order, (child, table) in enumerate(zip(self.children, self.orders, strict=True), 3):
+                row = child[row, part[place + DEPTH - order]]
+                known = row >= 0
+                row, place = row[known], place[known]
+                found[place] = table[row, symbol[place]]
+            total += float(found.sum(dtype=np.float64))
         return total
 
 
 def trie_of(grams: DataFrame, most_contexts: int = CONTEXTS) -> Trie:
     """The part of the counted trie that the model keeps: bounded, though the counts are not.
 
-    At most 2^24 three-byte grams, and the followers of at most ``most_contexts`` contexts.
+    At most 2^24 three-byte grams, and at each longer order the followers of at most ``most_contexts`` contexts.
     """
     total = grams.agg(F.sum("n")).first()[0] or 0
-    three = grams.groupBy(F.col("gram").bitwiseAND(F.lit(0xFFFFFF)).alias("gram")).agg(F.sum("n").alias("n"))
-    context = F.shiftright("gram", 8)
-    shares = grams.groupBy(context.alias("context")).agg(F.sum("n").alias("in_context"))
-    frequent = shares.where(F.col("in_context") * most_contexts >= total).select("context")
-    four = grams.join(F.broadcast(frequent), context == F.col("context"), "left_semi")
-    a, b = three.toArrow(), four.toArrow()
-    return Trie(*(t[c].to_numpy() for t in (a, b) for c in ("gram", "n")))
+
+    def low_bytes(count: int):
+        return F.col("gram").bitwiseAND(F.lit((1 << 8 * count) - 1).cast("long")).alias("gram")
+
+    def arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        got = rows.toArrow()
+        return got["gram"].to_numpy(), got["n"].to_numpy()
+
+    three = arrays(grams.groupBy(low_bytes(3)).agg(F.sum("n").alias("n")))
+    longer = []
+    for order in range(3, DEPTH + 1):
+        counted = grams.groupBy(low_bytes(order + 1)).agg(F.sum("n").alias("n"))
+        context = F.shiftright("gram", 8)
+        shares = counted.groupBy(context.alias("context")).agg(F.sum("n").alias("in_context"))
+        frequent = shares.where(F.col("in_context") * most_contexts >= total).select("context")
+        longer.append(arrays(counted.join(F.broadcast(frequent), context == F.col("context"), "left_semi")))
+    return Trie(three, tuple(longer))
 
 
 # --- scoring ----------------------------------------------------------------------------------------
