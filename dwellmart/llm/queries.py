@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwellmart.llm import license_scan, mixing, packing, ppm, quality, simhash, toxicity, url_filter
+from dwellmart.llm import license_scan, mixing, packing, ppm, quality, simhash, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,8 @@ def op3_license_signatures(spark, sf):
 @registered
 def op4_ppm_scores(spark, sf):
     return ppm.scored(read(spark, sf, "documents"))
+
+
+@registered
+def op2_token_counts_trie(spark, sf):
+    return token_counts.counted(read(spark, sf, "documents"))
