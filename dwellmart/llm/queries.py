@@ -7,7 +7,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwellmart.llm import license_scan, mixing, packing, ppm, quality, simhash, token_counts, toxicity, url_filter
+from dwellmart.llm import (
+    embedding_forest,
+    license_scan,
+    mixing,
+    packing,
+    ppm,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +172,8 @@ def op4_ppm_scores(spark, sf):
 @registered
 def op2_token_counts_trie(spark, sf):
     return token_counts.counted(read(spark, sf, "documents"))
+
+
+@registered
+def op1_embedding_forest(spark, sf):
+    return embedding_forest.near_duplicates(read(spark, sf, "embeddings"))
