@@ -1,0 +1,100 @@
+from collections import Counter, defaultdict
+
+import pytest
+
+from dwellmart.llm import mixing
+from tests.llm.conftest import ODD, documents
+
+
+def plain_targets(sizes):
+    """Targets by sharing the excess again until no source is above its cap."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in capped]
+        share = sum(weight[s] for s in free)
+        target = {s: (total - sum(capped.values())) * weight[s] / share for s in free}
+        over = [s for s in free if target[s] > 3 * sizes[s]]
+        if not over:
+            return {**target, **capped}
+        capped |= {s: 3 * sizes[s] for s in over}
+
+
+SOURCES = {"a": 400, "B": 30, "b": 5, "é": 900, None: 90, "zz": 1, "hot": 3000}
+
+
+@pytest.fixture(scope="module")
+def corpus(on_workers):
+    rows = [(i * 10 + k, " ".join(f"{s}{j}" for j in range(n // 10 + (k == 0) * (n % 10))), s)
+            for i, (s, n) in enumerate(SOURCES.items()) for k in range(10)]
+    return documents(on_workers, rows), rows
+
+
+@pytest.mark.parametrize("block", [1, 7, 1024])
+def test_targets_and_taken_words(corpus, block):
+    docs, rows = corpus
+    got = {r.doc_id: r for r in mixing.taken_words(docs, block_words=block).collect()}
+    sizes, want, taken = Counter(), {}, defaultdict(int)
+    for i, text, source in rows:
+        sizes[source] += len(text.split())
+    want = plain_targets(sizes)
+    for i, text, source in rows:
+        row = got[i]
+        assert row.size == len(text.split()) and row.source_size == sizes[source]
+        assert row.target == pytest.approx(want[source])
+        assert 0 <= row.taken <= 3 * row.size
+        taken[source] += row.taken
+    assert {s: t for s, t in taken.items()} == {s: int(want[s] + 1e-9) for s in want}
+
+
+def test_reruns_agree(corpus):
+    docs, _ = corpus
+    a, b = (sorted(map(tuple, mixing.taken_words(d, block_words=7).collect())) for d in (docs, docs.repartition(5)))
+    assert a == b
+
+
+def test_blocks_of_a_pass_are_a_permutation(on_workers, corpus):
+    docs, _ = corpus
+    made = mixing.mix(mixing._sized(docs), block_words=7, shard_slots=50)
+    slots = mixing._slots(made.plan, 7, 50, 42).collect()
+    passes = defaultdict(list)
+    for s in slots:
+        passes[s.source_number, s["pass"]].append(s.block)
+    assert all(len(set(blocks)) == len(blocks) for blocks in passes.values())
+    shards = Counter(s.shard for s in slots)
+    assert max(shards) < -(-len(slots) // 50) and max(shards.values()) < 100
+
+
+def test_rows_of_the_mix(corpus):
+    docs, rows = corpus
+    mixed = mixing.mixed_documents(docs, block_words=7)
+    assert mixed.schema == docs.schema
+    taken = {r.doc_id: r.taken for r in mixing.taken_words(docs, block_words=7).collect()}
+    words, texts = Counter(), {i: t for i, t, _ in rows}
+    for r in mixed.collect():
+        words[r.doc_id] += len(r.text.split())
+        assert set(r.text.split()) <= set(texts[r.doc_id].split())
+        assert r.text == texts[r.doc_id] or r.n_chars == len(r.text)
+    assert words == Counter({i: n for i, n in taken.items() if n})
+
+
+def test_odd_rows(odd, nothing):
+    rows = mixing.taken_words(odd).collect()
+    assert len(rows) == len(ODD)
+    assert all(r.taken == 0 == r.size for r in rows if r.doc_id in (1, 2, 3))
+    assert mixing.taken_words(nothing).count() == 0
+    assert mixing.mixed_documents(nothing).count() == 0
+    assert mixing.mixed_documents(odd).where("doc_id in (1, 2, 3)").count() == 0
+
+
+def test_only_empty_texts(on_workers):
+    rows = mixing.taken_words(documents(on_workers, [(1, None), (2, "")])).collect()
+    assert [(r.size, r.source_size, r.target, r.taken) for r in rows] == [(0, 0, 0.0, 0)] * 2
+
+
+def test_main_path_is_native(corpus):
+    docs, _ = corpus
+    for frame in (mixing.taken_words(docs), mixing.mixed_documents(docs)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

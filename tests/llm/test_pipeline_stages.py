@@ -1,0 +1,63 @@
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from dwellmart.llm import mixing, packing, quality, simhash, toxicity
+from tests.llm.conftest import documents
+
+
+@pytest.fixture(scope="module")
+def stages(on_workers, sf_dir, tmp_path_factory):
+    """Input and output of every stage, written and read back."""
+    root, docs, made = tmp_path_factory.mktemp("stages"), on_workers.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        path = f"{root}/{name}"
+        stage(on_workers, docs, sf_dir).write.parquet(path)
+        made.append((name, docs, on_workers.read.parquet(path)))
+        docs = made[-1][2]
+    return made
+
+
+def ids(frame, where="true"):
+    return sorted(r.doc_id for r in frame.where(where).select("doc_id").collect())
+
+
+def test_each_stage_does_what_its_operator_says(stages, on_workers, sf_dir):
+    labels = on_workers.read.parquet(f"{sf_dir}/labels.parquet")
+    want = [
+        lambda d: ids(quality.judge(d), "kept"),
+        lambda d: ids(toxicity.scored(d, labels), "predicted = 0"),
+        lambda d: ids(simhash.near_duplicates(d), "doc_id = component_id"),
+    ]
+    for (name, before, after), rule in zip(stages, want):
+        assert after.schema == before.schema, name
+        assert ids(after) == rule(before), name
+        assert 0 < after.count() <= before.count()
+        assert after.exceptAll(before).isEmpty(), name
+
+
+def test_mixing_takes_what_the_operator_says(stages):
+    _, before, after = stages[3]
+    assert after.schema == before.schema
+    words = F.expr("size(regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0))")
+    got = {r.doc_id: r.n for r in after.groupBy("doc_id").agg(F.sum(words).alias("n")).collect()}
+    assert got == {r.doc_id: r.taken for r in mixing.taken_words(before).where("taken > 0").collect()}
+
+
+def test_packing_holds_every_row_of_the_mix(stages):
+    _, before, after = stages[4]
+    assert after.columns == packing.pack(before).columns
+    assert after.where("start = 0").count() == before.count()
+
+
+def test_run_gives_the_last_stage(stages, spark, sf_dir):
+    got, want = corpus_pipeline.run(spark, sf_dir), stages[-1][2]
+    assert got.columns == want.columns
+    assert got.agg(F.sum("length")).first() == want.agg(F.sum("length")).first()
+
+
+def test_stages_over_no_rows(on_workers, sf_dir):
+    docs = documents(on_workers, [])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(on_workers, docs, sf_dir)
+    assert docs.count() == 0
