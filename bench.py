@@ -20,7 +20,7 @@ from dwellmart.session import build_session, shared_folder
 from dwellmart.sources.sales_csv import scan_sales_csv, write_sales_csv
 from dwellmart.sources.surrogate import raw_sales
 
-# The published full run covers about 800,000 sales; so many deliveries of the orders come close to it.
+# The published full run covers about 800,000 sales; so many different sales of each order come close to it.
 TARGET_ROWS = 800_000
 
 
@@ -31,6 +31,7 @@ def run(frame: DataFrame) -> None:
 def stages(spark: SparkSession, csv: str, store: Store) -> dict:
     raw = partial(scan_sales_csv, spark, csv)
     mart = partial(pipeline.read_mart, spark, store)
+    served = lambda: panels.price_summary(mart())
     return {
         "csv_scan": lambda: run(raw()),
         "publish": lambda: pipeline.publish_job(raw(), store),
@@ -40,12 +41,12 @@ def stages(spark: SparkSession, csv: str, store: Store) -> dict:
         "warehouse": lambda: pipeline.warehouse_job(spark, store),
         "mart": lambda: pipeline.mart_job(spark, store),
         "check_not_null": lambda: run(checks.null_counts(mart())),
-        "price_summary_sorted": lambda: run(panels.price_summary(mart())),
+        "price_summary_sorted": lambda: run(served()),
         "default_selection": lambda: run(selection.default_counties(mart())),
-        "headline_metrics": lambda: run(panels.headline_metrics(mart(), ["Dublin"])),
-        "trend_series": lambda: run(panels.trend_series(mart(), ["Dublin", "Cork"])),
-        "map_dataset": lambda: run(panels.map_dataset(mart())),
-        "underlying_table": lambda: run(panels.underlying_table(mart(), ["Dublin", "Cork"])),
+        "headline_metrics": lambda: run(panels.headline_metrics(served(), ["Dublin"])),
+        "trend_series": lambda: run(panels.trend_series(served(), ["Dublin", "Cork"])),
+        "map_dataset": lambda: run(panels.map_dataset(served())),
+        "underlying_table": lambda: run(panels.underlying_table(served(), ["Dublin", "Cork"])),
     }
 
 
@@ -68,10 +69,11 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("OFF")
 
-    deliveries = max(1, round(TARGET_ROWS / raw_sales(spark, sf_dir, deliveries=1).count()))
+    variants = max(1, round(TARGET_ROWS / raw_sales(spark, sf_dir, deliveries=1).count()))
     csv = shared_folder(spark, "csv")
     # One order file is one task; the register comes in as many pieces as there are threads.
-    write_sales_csv(raw_sales(spark, sf_dir, deliveries).repartition(int(cpus)), csv)
+    sales = raw_sales(spark, sf_dir, deliveries=1, spoiled=False, variants=variants)
+    write_sales_csv(sales.repartition(int(cpus)), csv)
     rows = scan_sales_csv(spark, csv).count()
 
     seconds = {}

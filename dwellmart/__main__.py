@@ -18,7 +18,7 @@ from dwellmart.plans.pipeline import (
     warehouse_job,
 )
 from dwellmart.session import build_session
-from dwellmart.sources.sales_csv import scan_sales_csv
+from dwellmart.sources.sales_csv import PARSERS, scan_sales_csv
 from dwellmart.streaming.triggers import PERIOD
 
 STAGES = ["publish", "bronze", "silver", "gold", "warehouse", "mart", "check", "all"]
@@ -30,8 +30,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="shared folder of all tables and stream positions")
     parser.add_argument("--csv", help="register file or folder; needed by publish and all")
     parser.add_argument("--topic", default="property_sales")
-    parser.add_argument("--buckets", type=int, default=64, help="buckets of a new Silver table")
-    parser.add_argument("--max-files", type=int, help="most files per Silver micro-batch")
+    parser.add_argument("--buckets", type=int, help="buckets of a new Silver table; needed by its first batch")
+    parser.add_argument("--max-files", type=int, default=1000, help="most files per Silver micro-batch")
+    parser.add_argument("--csv-parser", choices=PARSERS, default="auto", help="records: no look at the files first")
     parser.add_argument("--kafka", metavar="SERVERS", help="use a Kafka topic at these brokers")
     parser.add_argument("--starting-offsets", default="earliest", help="where a new Bronze stream starts in Kafka")
     parser.add_argument("--trigger", default="once", help="once, or anything else for a periodic Bronze stream")
@@ -49,7 +50,7 @@ def store_of(options: argparse.Namespace) -> Store:
         options.root,
         options.topic,
         options.buckets,
-        {} if options.max_files is None else {"maxFilesPerTrigger": options.max_files},
+        {"maxFilesPerTrigger": options.max_files},
         "kafka" if options.kafka else "parquet",
         kafka if options.kafka else {},
     )
@@ -61,14 +62,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"dwellmart-{options.stage}", options.master)
     store = store_of(options)
     jobs = {
-        "publish": lambda: publish_job(scan_sales_csv(spark, options.csv), store),
+        "publish": lambda: publish_job(scan_sales_csv(spark, options.csv, options.csv_parser), store),
         "bronze": lambda: bronze_job(spark, store, options.trigger, options.period),
         "silver": lambda: silver_job(spark, store),
         "gold": lambda: gold_job(spark, store),
         "warehouse": lambda: warehouse_job(spark, store),
         "mart": lambda: mart_job(spark, store),
         "check": lambda: check_job(spark, store),
-        "all": lambda: run_pipeline(spark, options.csv, store),
+        "all": lambda: run_pipeline(spark, options.csv, store, parser=options.csv_parser),
     }
     jobs[options.stage]()
 

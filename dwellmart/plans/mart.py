@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from dwellmart.operators.prior_row import with_change, with_prior_median
 
-SOURCE = "county_yearly_price_summary"
+# A temporary view of its own name, so that it never hides the stored table of that name.
+SOURCE = "given_price_summary"
 STAGING = "staged_price_summary"
 
 

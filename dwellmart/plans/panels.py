@@ -1,4 +1,4 @@
-"""Datasets behind the panels of a price dashboard. All take the mart and stay lazy."""
+"""Datasets behind the panels of a price dashboard. All take the served frame and stay lazy."""
 
 from collections.abc import Sequence
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.functions.labels import change_label, euro_label
+from dwellmart.operators.checks import export_types
 from dwellmart.operators.county_map import weighted_median_by_county, with_coordinates
 from dwellmart.operators.selection import at_latest_year, choose
 from dwellmart.sources.counties import county_coordinates
@@ -16,15 +17,19 @@ Values = Sequence[str] | None
 
 
 def price_summary(mart: DataFrame) -> DataFrame:
-    """The whole mart in its served order."""
-    return mart.orderBy(*SERVED_ORDER)
+    """The served frame: the whole mart in the types and the order that its users get.
 
+    Prices are doubles and whole numbers bigints; a NULL among the latter fails the query. The panels take
+    this frame.
+    """
+    return export_types(mart).orderBy(*SERVED_ORDER)
 
-def headline_metrics(mart: DataFrame, counties: Sequence[str], property_types: Values = None) -> DataFrame | None:
+
+def headline_metrics(served: DataFrame, counties: Sequence[str], property_types: Values = None) -> DataFrame | None:
     """Latest median and change per property type, for exactly one county; ``None`` for any other number."""
     if len(counties) != 1:
         return None
-    return at_latest_year(choose(mart, counties, property_types)).select(
+    return at_latest_year(choose(served, counties, property_types)).select(
         "county",
         "year",
         F.col("property_type").alias("label"),
@@ -33,17 +38,17 @@ def headline_metrics(mart: DataFrame, counties: Sequence[str], property_types: V
     )
 
 
-def trend_series(mart: DataFrame, counties: Values = None, property_types: Values = None) -> DataFrame:
+def trend_series(served: DataFrame, counties: Values = None, property_types: Values = None) -> DataFrame:
     """Points of one line per county and property type."""
-    return choose(mart, counties, property_types).select("year", "median_price_eur", "county", "property_type")
+    return choose(served, counties, property_types).select("year", "median_price_eur", "county", "property_type")
 
 
-def map_dataset(mart: DataFrame, counties: Values = None, property_types: Values = None) -> DataFrame:
+def map_dataset(served: DataFrame, counties: Values = None, property_types: Values = None) -> DataFrame:
     """Weighted median per county in the latest year of the choice, with coordinates."""
-    latest = at_latest_year(choose(mart, counties, property_types))
-    return with_coordinates(weighted_median_by_county(latest), county_coordinates(mart.sparkSession))
+    latest = at_latest_year(choose(served, counties, property_types))
+    return with_coordinates(weighted_median_by_county(latest), county_coordinates(served.sparkSession))
 
 
-def underlying_table(mart: DataFrame, counties: Values = None, property_types: Values = None) -> DataFrame:
+def underlying_table(served: DataFrame, counties: Values = None, property_types: Values = None) -> DataFrame:
     """The chosen rows in served order."""
-    return choose(mart, counties, property_types).orderBy(*SERVED_ORDER)
+    return choose(served, counties, property_types).orderBy(*SERVED_ORDER)

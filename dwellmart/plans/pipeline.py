@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dwellmart.operators.checks import require_filled
 from dwellmart.operators.price_summary import summarise_prices
-from dwellmart.plans.mart import build_mart
+from dwellmart.plans.mart import mart_rows, staging_view
 from dwellmart.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, MART_SCHEMA
+from dwellmart.session import discard
 from dwellmart.sources.sales_csv import scan_sales_csv
-from dwellmart.sources.tables import read_table, replace_table, stream_table
+from dwellmart.sources.tables import name_table, read_table, replace_table, stream_table
 from dwellmart.sources.topic import Published, publish, stream_topic
 from dwellmart.streaming.bronze import start_bronze
 from dwellmart.streaming.silver import SilverTable, start_silver
@@ -25,12 +26,16 @@ class Store:
 
     root: str
     topic_name: str = "property_sales"
-    buckets: int = 64
-    # Bounds on a micro-batch of the Silver stream, such as {"maxFilesPerTrigger": 1000}.
-    read_options: dict = field(default_factory=dict)
+    # Buckets of the Silver table; needed when the first batch makes it.
+    buckets: int | None = None
+    # Bounds on a micro-batch of the Silver stream. The rows do not depend on them.
+    read_options: dict = field(default_factory=lambda: {"maxFilesPerTrigger": 1000})
     # "kafka" with its connection options, where that package is installed.
     topic_format: str = "parquet"
     topic_options: dict = field(default_factory=dict)
+    # Names that the catalog knows the warehouse table and the mart by.
+    warehouse_name: str = "county_yearly_price_summary"
+    mart_name: str = "property_price_summary"
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -72,21 +77,25 @@ def silver_job(spark: SparkSession, store: Store) -> None:
 
 def gold_job(spark: SparkSession, store: Store) -> int:
     """Recompute the summary from all of Silver and replace the stored one."""
-    summary = summarise_prices(store.silver(spark).read(spark), store.path("gold_first_pass"))
-    return replace_table(summary, store.path("gold"))
+    workspace = store.path("gold_first_pass")
+    rows = replace_table(summarise_prices(store.silver(spark).read(spark), workspace), store.path("gold"))
+    discard(spark, workspace)
+    return rows
 
 
 def warehouse_job(spark: SparkSession, store: Store) -> int:
     """Copy the summary to the warehouse table, replacing it."""
-    rows = replace_table(read_table(spark, store.path("gold"), GOLD_SCHEMA), store.path("warehouse"))
+    gold = read_table(spark, store.path("gold"), GOLD_SCHEMA)
+    rows = replace_table(gold, store.path("warehouse"), store.warehouse_name)
     logger.info("loaded %d rows into the warehouse table", rows)
     return rows
 
 
 def mart_job(spark: SparkSession, store: Store) -> int:
-    """Staging view and mart table."""
-    source = read_table(spark, store.path("warehouse"), GOLD_SCHEMA)
-    return replace_table(build_mart(spark, source), store.path("mart"))
+    """Staging view over the named warehouse table, and the named mart table."""
+    name_table(spark, store.warehouse_name, store.path("warehouse"), GOLD_SCHEMA)
+    mart = mart_rows(staging_view(spark, store.warehouse_name))
+    return replace_table(mart, store.path("mart"), store.mart_name)
 
 
 def check_job(spark: SparkSession, store: Store) -> None:
@@ -98,13 +107,15 @@ def read_mart(spark: SparkSession, store: Store) -> DataFrame:
     return read_table(spark, store.path("mart"), MART_SCHEMA)
 
 
-def run_pipeline(spark: SparkSession, sales: str | DataFrame, store: Store, check: bool = True) -> DataFrame:
+def run_pipeline(
+    spark: SparkSession, sales: str | DataFrame, store: Store, check: bool = True, parser: str = "auto"
+) -> DataFrame:
     """Publish, ingest, clean, summarise, load, build the mart and check it, in this order.
 
-    ``sales`` is a CSV path or raw rows. A stage that fails raises and later stages do not run. Running
+    ``sales`` is a CSV path, read with ``parser``, or raw rows. A stage that fails raises and later stages do not run. Running
     again on the same store re-publishes and adds only sales that are new.
     """
-    raw = scan_sales_csv(spark, sales) if isinstance(sales, str) else sales
+    raw = scan_sales_csv(spark, sales, parser) if isinstance(sales, str) else sales
     publish_job(raw, store)
     bronze_job(spark, store)
     silver_job(spark, store)

@@ -1,5 +1,6 @@
 """Session settings and the shared folder that jobs keep their intermediate tables in."""
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,12 +31,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="dwellmart-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate results, wherever its file system is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply settings to one session for the length of a block, then put the old ones back."""

@@ -1,11 +1,25 @@
 """Scan of the sales register as CSV: cp1252 text, a header row, doubled quotes, line breaks in cells.
 
+The rows are those of a reader that goes through a file character by character: a record ends at LF, CR or
+CRLF outside quotes, a quote opens a cell only as its first character, text after a closing quote belongs to
+the cell, and only lines without any character are skipped. Only a quote that is never closed differs: the last line break of the file is not in its cell.
+Spark's own CSV reader gives the same rows for
+plain files, and takes them in splits. A file is plain if all its lines are whole records of well-formed
+cells, all equally many, with something else than white space. One look at the text in parallel tells
+which files are. All others are read by records, also in parallel: whether a line starts inside quotes
+depends on the lines before it, but each line is a function of that one bit, and such functions can be
+put together per block of a file first and then over the blocks.
+
 Spark 4 reads a fixed list of charsets and cp1252 is not on it. ISO-8859-1 is, and it maps every byte to
 the code point of the same number, so the two charsets differ only in bytes 0x80-0x9F. ``translate``
 puts those right inside the scan's own projection, for cells and for the header.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dwellmart.schemas import HEADERS
@@ -23,6 +37,15 @@ _CP1252_CHARS = "".join(_CP1252_OF_LATIN1.values())
 _TO_CP1252 = str.maketrans(_CP1252_OF_LATIN1)
 _TO_LATIN1 = str.maketrans({cp: latin1 for latin1, cp in _CP1252_OF_LATIN1.items()})
 
+PARSERS = ("auto", "records")
+
+# Inside of a quoted cell; a cell that is closed; any cell, which at the end of a file may be open.
+_INNER = r'[^"]*+(?:""[^"]*+)*+'
+_CLOSED = rf'(?:"{_INNER}"[^,\r]*+|[^",\r][^,\r]*+|)'
+_CELL = rf'(?:"{_INNER}(?:"[^,\r]*+|\z)|[^",\r][^,\r]*+|)'
+_PLAIN_CELL = rf'(?:"{_INNER}"|[^",\r]*+)'
+_LEFT_OPEN = rf'(?:{_CLOSED}[,\r])*+"{_INNER}\z'
+
 
 def _cp1252_text(cell: Column) -> Column:
     # Plain ASCII, by far the most cells, has one byte per character and needs no look at each of them.
@@ -30,57 +53,161 @@ def _cp1252_text(cell: Column) -> Column:
     return F.when(ascii_only, cell).otherwise(F.translate(cell, _LATIN1_CHARS, _CP1252_CHARS))
 
 
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines as LF ends them, with their file, their block of it and their order in the block."""
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(paths)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("value"),
+        )
+    )
+
+
+def _plain_files(spark: SparkSession, path: str) -> dict[str, bool]:
+    """For each file with any line, whether it is plain."""
+    body = F.regexp_replace("value", r"\r\z", "")
+    unquoted = F.regexp_replace(body, rf'"{_INNER}"', "")
+    commas = F.char_length(unquoted) - F.char_length(F.replace(unquoted, F.lit(","), F.lit("")))
+    blank = body == ""
+    odd = ~blank & (~body.rlike(rf"\A{_PLAIN_CELL}(?:,{_PLAIN_CELL})*+\z") | ~body.rlike(r"[^\s]"))
+    looks = _lines(spark, path).groupBy("file").agg(
+        F.bool_or(odd).alias("odd"),
+        F.min(F.when(~blank, commas)).alias("fewest"),
+        F.max(F.when(~blank, commas)).alias("most"),
+    )
+    return {r.file: not r.odd and r.fewest == r.most for r in looks.collect()}
+
+
 def every_record_on_one_line(spark: SparkSession, path: str) -> bool:
-    """Whether each line of the files holds whole records, so that a file may be split between tasks.
+    """Whether all files are plain, so that Spark's own reader takes them in splits."""
+    return all(_plain_files(spark, path).values())
 
-    A line does so when it consists of cells that are quoted from end to end or have no quote at all. The
-    check reads the text in parallel, stops at the first line that fails and brings back one boolean.
-    """
-    cell = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+
+def _flag(value: Column) -> Column:
+    return value.cast("int")
+
+
+def _records(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, block, line, place, cells) of every record that is not empty, in any order."""
     value = F.col("value")
-    lines = spark.read.text(path)
-    return lines.where(value.contains('"') & ~value.rlike(f"^{cell}(?:,{cell})*+$")).isEmpty()
+    opens = _flag(value.rlike(rf"\A{_LEFT_OPEN}"))
+    stays = _flag(value.rlike(rf'\A{_INNER}\z') | value.rlike(rf'\A{_INNER}"[^,\r]*+[,\r]{_LEFT_OPEN}'))
+    lines = _lines(spark, files).withColumn("opens", opens).withColumn("stays", stays)
+    # A line sets the bit, keeps it or turns it. After turns are counted, what was set last is all one needs.
+    lines = lines.withColumn("turns", F.when((F.col("opens") == 1) & (F.col("stays") == 0), 1).otherwise(0))
+    in_block = Window.partitionBy("file", "block").orderBy("line")
+    upto, before = in_block.rowsBetween(Window.unboundedPreceding, 0), in_block.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("turned", F.sum("turns").over(upto))
+    sets = F.when(F.col("opens") == F.col("stays"), F.col("opens").bitwiseXOR((F.col("turned") % 2).cast("int")))
+    lines = lines.withColumn("set", sets)
+    lines = lines.withColumn("set_before", F.last("set", True).over(before)).withColumn(
+        "turned_before", F.col("turned") - F.col("turns")
+    )
+    blocks = lines.groupBy("file", "block").agg(
+        F.max_by("set", F.when(F.col("set").isNotNull(), F.col("line"))).alias("set"), F.max("turned").alias("turned")
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum("turned").over(earlier), F.lit(0))
+    blocks = blocks.withColumn("turned_earlier", turned)
+    # What a block sets last, as if no line of the file up to there had turned it.
+    after = F.col("set").bitwiseXOR((F.col("turned_earlier") % 2).cast("int"))
+    blocks = blocks.withColumn("plain_set", after)
+    inside = F.coalesce(F.last("plain_set", True).over(earlier), F.lit(0)).bitwiseXOR(
+        (F.col("turned_earlier") % 2).cast("int")
+    )
+    starts = blocks.select("file", "block", inside.alias("block_inside"))
+    lines = lines.join(starts, ["file", "block"])
+    bit = F.coalesce("set_before", "block_inside").bitwiseXOR((F.col("turned_before") % 2).cast("int"))
+    lines = lines.select("file", "block", "line", "value", F.when(bit == 0, F.col("line")).alias("begins"))
+    lines = lines.withColumn("record", F.last("begins", True).over(upto))
+    ends = lines.groupBy("file", "block").agg(F.max("begins").alias("last"))
+    last = F.last(F.when(F.col("last").isNotNull(), F.struct("block", "last")), True).over(earlier)
+    carried = ends.select("file", "block", last.alias("carried"))
+    own = F.when(F.col("record").isNotNull(), F.struct(F.col("block"), F.col("record").alias("last")))
+    lines = lines.join(carried, ["file", "block"]).withColumn("of", F.coalesce(own, F.col("carried")))
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    whole = lines.groupBy("file", "of").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("text"))
+    texts = F.regexp_extract_all("text", F.lit(rf"({_CELL}(?:,{_CELL})*+)(?:\r|\z)"), F.lit(1))
+    records = whole.select("file", "of", F.posexplode(texts).alias("place", "record")).where("record <> ''")
+    cells = F.regexp_extract_all(F.concat(F.lit(","), "record"), F.lit(rf",({_CELL})"), F.lit(1))
+    return records.select(
+        "file", F.col("of.block").alias("block"), F.col("of.last").alias("line"), "place", F.transform(cells, _unquoted).alias("cells")
+    )
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    line = spark.read.option("lineSep", "\n").text(path).first()
-    return "" if line is None else line.value
+def _unquoted(cell: Column) -> Column:
+    inner = F.replace(F.regexp_extract(cell, rf'\A"({_INNER})', 1), F.lit('""'), F.lit('"'))
+    rest = F.regexp_extract(cell, rf'\A"{_INNER}"([^,]*+)\z', 1)
+    return F.when(cell.startswith('"'), F.concat(inner, rest)).otherwise(cell)
 
 
-def scan_sales_csv(spark: SparkSession, path: str, split_files: bool | None = None) -> DataFrame:
-    """Read a file or folder into the nine raw columns, by header name, all strings.
+def _by_header(names: list[str], cell) -> list[Column]:
+    """The nine columns; ``cell`` gives that of a place in the header. Of equal names the last one counts."""
+    places = {name.translate(_TO_CP1252): i for i, name in enumerate(names)}
+    return [
+        (_cp1252_text(cell(places[h])) if h in places else F.lit(None).cast("string")).alias(h) for h in HEADERS
+    ]
 
-    An empty cell is an empty string, a column that the header lacks is NULL, extra columns are left out
-    and a missing path fails. Records that run over several lines can only be read one task per file;
-    ``split_files=None`` looks first whether there are any, ``True`` and ``False`` skip that look. Lines end
-    as the header line does.
-    """
-    if split_files is None:
-        split_files = every_record_on_one_line(spark, path)
+
+def _scan_records(spark: SparkSession, files: list[str]) -> tuple[DataFrame, list[list[str]]]:
+    """Rows of the files after their header records, and the headers there are."""
+    records = _records(spark, files)
+    place = F.struct("block", "line", "place")
+    first = records.groupBy("file").agg(F.min_by("cells", place).alias("header"), F.min(place).alias("first"))
+    headers = [r.header for r in first.select("header").distinct().collect()]
+    rows = records.join(first.select("file", "first"), "file").where(place > F.col("first"))
+    return rows.select(*_by_header(headers[0] if headers else [], lambda i: F.get("cells", i))), headers
+
+
+def _scan_splits(spark: SparkSession, files: list[str]) -> tuple[DataFrame, list[str]]:
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", not split_files)
         .option("encoding", "ISO-8859-1")
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
     )
-    if not split_files and _first_line(spark, path).endswith("\r"):
-        # Left to find the ending by itself, the parser would turn CRLF inside cells into LF.
-        reader = reader.option("lineSep", "\r\n")
     # Without inference this reads the header line only. Declaring its columns and switching enforcement
-    # off makes any other file of the folder fail when its header differs, instead of mixing columns up.
-    found = reader.csv(path)
-    cells = reader.schema(found.schema).option("enforceSchema", False).csv(path)
-    by_header = {name.translate(_TO_CP1252): name for name in cells.columns}
-    return cells.select(
-        *(
-            F.coalesce(_cp1252_text(cells[f"`{by_header[header]}`"]), F.lit("")).alias(header)
-            if header in by_header
-            else F.lit(None).cast("string").alias(header)
-            for header in HEADERS
-        )
-    )
+    # off makes any other file fail when its header differs, instead of mixing columns up.
+    found = reader.csv(files)
+    cells = reader.schema(found.schema).option("enforceSchema", False).csv(files)
+    columns = _by_header(cells.columns, lambda i: F.coalesce(cells[f"`{cells.columns[i]}`"], F.lit("")))
+    return cells.select(*columns), cells.columns
+
+
+def scan_sales_csv(spark: SparkSession, path: str, parser: str = "auto") -> DataFrame:
+    """Read a file or folder into the nine raw columns, by header name, all strings.
+
+    An empty cell is an empty string; a cell that a short row lacks and a column that the header lacks are
+    NULL; extra cells are left out. Files whose headers differ and a missing path fail. ``parser="auto"``
+    looks at every file first and reads plain ones in splits; ``"records"`` reads all by records and saves
+    the look. The rows are the same.
+    """
+    if parser not in PARSERS:
+        raise ValueError(f"parser must be one of {PARSERS}")
+    if parser == "auto":
+        looks = _plain_files(spark, path)
+    else:
+        names = spark.read.option("lineSep", "\n").text(path).select("_metadata.file_path").distinct().collect()
+        looks = {r.file_path: False for r in names}
+    by_kind = {kind: sorted(unquote(f) for f, plain in looks.items() if plain is kind) for kind in (True, False)}
+    parts, headers = [], []
+    if by_kind[True]:
+        rows, header = _scan_splits(spark, by_kind[True])
+        parts.append(rows)
+        headers.append(header)
+    if by_kind[False]:
+        rows, found = _scan_records(spark, by_kind[False])
+        parts.append(rows)
+        headers += found
+    if any(header != headers[0] for header in headers):
+        raise ValueError(f"files with different header rows: {headers}")
+    empty = spark.createDataFrame([], ", ".join(f"`{h}` string" for h in HEADERS))
+    return reduce(DataFrame.union, parts) if parts else empty
 
 
 def write_sales_csv(raw: DataFrame, path: str) -> None:

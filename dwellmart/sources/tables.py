@@ -15,6 +15,12 @@ def stream_table(spark: SparkSession, path: str, schema: StructType, **options)
     return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
+def name_table(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
+    """Let the catalog of this session know a stored table by name, where it does not yet."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path, "parquet", schema)
+
+
 def replace_table(rows: DataFrame, path: str, name: str | None = None) -> int:
     """Replace the table by ``rows`` and return how many there were, counted while writing.
 

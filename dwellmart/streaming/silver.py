@@ -12,7 +12,6 @@ a time is assumed.
 import hashlib
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ from dwellmart.functions import cleaning
 from dwellmart.operators.first_copy import first_copy
 from dwellmart.operators.insert_only import unseen_rows
 from dwellmart.schemas import ARRIVAL_ORDER, SALE_KEY, SILVER_SCHEMA
-from dwellmart.session import session_conf
+from dwellmart.session import discard, session_conf, shared_folder
 from dwellmart.streaming.triggers import PERIOD, trigger_for
 
 BATCH_COLUMNS = ["query_id", "batch_id"]
@@ -57,29 +56,46 @@ def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
 class SilverTable:
     """The stored Silver table at ``path``.
 
-    ``buckets`` is fixed when the table is made (later values are ignored): choose it so that a bucket's
-    share of one large batch is a few hundred MB. 64 suits the register itself, a 100 TB table wants
-    thousands.
+    ``buckets`` is fixed by the first batch (later values are ignored) and must be given for it: choose it so
+    that a bucket's share of one large batch is a few hundred MB. 64 suits the register itself, a 100 TB
+    table wants thousands; ``rewrite`` moves a table to another number. Reading writes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, null_safe: bool = False):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, null_safe: bool = False):
         self.data = f"{path.rstrip('/')}/data"
         self.layout = f"{path.rstrip('/')}/layout"
         self.name = f"silver_{hashlib.sha256(self.data.encode()).hexdigest()[:16]}"
         self.null_safe = null_safe
-        self.buckets = self._settle_buckets(spark, buckets)
+        layout = _if_present(lambda: spark.read.schema(_LAYOUT).json(self.layout))
+        self.settled = layout is not None
+        self.buckets = layout.first().buckets if layout is not None else buckets
 
-    def _settle_buckets(self, spark: SparkSession, wanted: int) -> int:
+    def _settle(self, spark: SparkSession) -> None:
+        """Write the number of buckets down, once."""
+        if self.settled:
+            return
         layout = _if_present(lambda: spark.read.schema(_LAYOUT).json(self.layout))
         if layout is not None:
-            return layout.first().buckets
-        spark.createDataFrame([(wanted,)], _LAYOUT).coalesce(1).write.json(self.layout)
-        return wanted
+            self.buckets = layout.first().buckets
+        elif self.buckets is None:
+            raise ValueError("a new Silver table needs a number of buckets")
+        else:
+            spark.createDataFrame([(self.buckets,)], _LAYOUT).coalesce(1).write.json(self.layout)
+        self.settled = True
 
     def attach(self, spark: SparkSession) -> None:
-        """Make the table known to the catalog, creating it if absent, with the batches it holds."""
-        if spark.catalog.tableExists(self.name):
-            return
+        """Make the table known to the catalog, creating it if absent, with the batches it holds now.
+
+        Other sessions may have written batches since this one looked, so it looks every time.
+        """
+        self._settle(spark)
+        if not spark.catalog.tableExists(self.name):
+            self._create(spark)
+        if _if_present(lambda: self.read(spark)) is not None:
+            spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
+            spark.catalog.refreshTable(self.name)
+
+    def _create(self, spark: SparkSession) -> None:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SILVER_SCHEMA)
         spark.sql(
             f"CREATE TABLE {self.name} ({fields}, query_id string, batch_id bigint) USING parquet "
@@ -87,16 +103,19 @@ class SilverTable:
             f"CLUSTERED BY ({', '.join(SALE_KEY)}) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.data}'"
         )
-        if _if_present(lambda: self.read(spark)) is not None:
-            spark.catalog.recoverPartitions(self.name)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The sales, without the two columns of the file layout."""
         return spark.read.schema(SILVER_SCHEMA).parquet(self.data)
 
     def upsert(self, batch: DataFrame, query_id: str, batch_id: int) -> None:
-        """Insert the rows of a batch whose natural key no other batch has brought."""
+        """Insert the rows of a batch whose natural key no other batch has brought.
+
+        The batch's first copies are stored once, in the shared folder, and looked up in the part of the
+        table that has dates of the batch.
+        """
         spark = batch.sparkSession
+        self._settle(spark)
         settings = {
             # Shuffles of the batch follow the buckets of the table, so that the table stays in place.
             "spark.sql.shuffle.partitions": str(self.buckets),
@@ -111,13 +130,50 @@ class SilverTable:
             if others.isEmpty():
                 self._replace_batch(fresh, query_id, batch_id)
                 return
-            # Used twice below. A micro-batch is not pruned by column, so without this it would be read
-            # and deduplicated twice in full. A lost executor costs a recomputation of its part only.
-            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                self._replace_batch(unseen_rows(fresh, others, SALE_KEY, self.null_safe), query_id, batch_id)
-            finally:
-                fresh.unpersist()
+            workspace = shared_folder(spark, "fresh")
+            fresh.write.parquet(workspace)
+            stored = spark.read.schema(fresh.schema).parquet(workspace)
+            self._replace_batch(self.unseen(stored, others), query_id, batch_id)
+            discard(spark, workspace)
+
+    def unseen(self, fresh: DataFrame, others: DataFrame) -> DataFrame:
+        """Rows of a stored batch that the table lacks.
+
+        A NULL date matches nothing, so only the dates between the batch's first and last matter, and
+        that filter reaches the scan of the table.
+        """
+        first, last = fresh.agg(F.min("date_of_sale"), F.max("date_of_sale")).first()
+        same_dates = F.col("date_of_sale").between(F.lit(first), F.lit(last)) if first else F.lit(False)
+        if self.null_safe:
+            same_dates = same_dates | F.col("date_of_sale").isNull()
+        return unseen_rows(fresh, others.where(same_dates), SALE_KEY, self.null_safe)
+
+    def rewrite(self, spark: SparkSession, target: "SilverTable") -> None:
+        """Copy the table to a new one: fewer and larger files, or another number of buckets.
+
+        The latest batch of each query keeps its ids, since it is the one that may be delivered again; all
+        earlier ones become one batch. Run it while nothing writes, then use the new table.
+        """
+        target._settle(spark)
+        with session_conf(
+            spark,
+            {"spark.sql.shuffle.partitions": str(target.buckets), "spark.sql.sources.partitionOverwriteMode": "dynamic"},
+        ):
+            self.attach(spark)
+            target.attach(spark)
+            rows = spark.table(self.name)
+            latest = rows.groupBy("query_id").agg(F.max("batch_id").alias("latest"))
+            marked = rows.join(F.broadcast(latest), "query_id")
+            open_batch = F.col("batch_id") == F.col("latest")
+            # One row per query in `latest`: as many as there were checkpoints.
+            marked = marked.withColumns(
+                {
+                    "query_id": F.when(open_batch, F.col("query_id")).otherwise("rewritten"),
+                    "batch_id": F.when(open_batch, F.col("batch_id")).otherwise(0),
+                }
+            )
+            dealt = marked.select(*SILVER_SCHEMA.names, *BATCH_COLUMNS).repartition(target.buckets, *SALE_KEY)
+            dealt.write.insertInto(target.name, overwrite=True)
 
     def _replace_batch(self, rows: DataFrame, query_id: str, batch_id: int) -> None:
         (

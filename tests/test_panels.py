@@ -30,6 +30,16 @@ def sample(spark):
     )
 
 
+def test_served_frame_has_the_types_and_order_of_its_users(spark):
+    rows = mart(spark, ("Mayo", 2021, "House", 5, 90.0, None), ("Cork", 2022, "House", 5, 110.0, 10.0), ("Cork", 2021, "House", 5, 100.0, 1.0))
+    served = panels.price_summary(rows)
+    kinds = dict(served.dtypes)
+    assert {kinds[c] for c in ("avg_price_eur", "median_price_eur", "min_price_eur", "max_price_eur")} == {"double"}
+    assert kinds["year"] == kinds["transaction_count"] == "bigint"
+    assert [(r.county, r.year) for r in served.collect()] == [("Cork", 2021), ("Cork", 2022), ("Mayo", 2021)]
+    assert dict(panels.underlying_table(served).dtypes) == kinds
+
+
 def test_choose(sample):
     assert choose(sample, ["Dublin"], ["Flat"]).count() == 1
     assert choose(sample).count() == 7

@@ -1,10 +1,14 @@
+import csv
+import io
 import os
+from collections import Counter
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from dwellmart.schemas import HEADERS
-from dwellmart.sources.sales_csv import every_record_on_one_line, scan_sales_csv, write_sales_csv
+from dwellmart.session import session_conf
+from dwellmart.sources.sales_csv import PARSERS, every_record_on_one_line, scan_sales_csv, write_sales_csv
 from dwellmart.sources.surrogate import raw_sales
 from tests.comparison import spark_bag
 
@@ -33,7 +37,7 @@ def addresses(frame):
     return sorted(r["Address"] for r in frame.collect())
 
 
-@pytest.mark.parametrize("split", [True, False, None])
+@pytest.mark.parametrize("split", PARSERS)
 def test_cp1252_header_cells_and_empty_cells(spark, folder, split):
     path = put(folder, "a.csv", [HEADER, cell_line("1 Café – Rua"), "", cell_line("Two")])
     rows = scan_sales_csv(spark, path, split).orderBy("Address").collect()
@@ -42,7 +46,7 @@ def test_cp1252_header_cells_and_empty_cells(spark, folder, split):
     assert rows[0]["Eircode"] == "" and rows[0]["Property Size Description"] == ""
 
 
-@pytest.mark.parametrize("split", [True, False, None])
+@pytest.mark.parametrize("split", PARSERS)
 def test_doubled_quotes_and_commas_in_cells(spark, folder, split):
     path = put(folder, "a.csv", [HEADER, cell_line('"The ""Old"" House, Main St"')])
     assert every_record_on_one_line(spark, path)
@@ -79,7 +83,39 @@ def test_files_with_different_headers_are_not_mixed(spark, folder):
     put(folder, "a.csv", ["County,Address", "Dublin,Here"])
     put(folder, "b.csv", ["Address,County", "There,Cork"])
     with pytest.raises(Exception, match="(?i)header"):
-        scan_sales_csv(spark, folder, True).collect()
+        scan_sales_csv(spark, folder).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_sales_csv(spark, folder, "records").collect()
+
+
+def by_python(data):
+    reader = csv.DictReader(io.StringIO(data.decode("cp1252"), newline=""))
+    return Counter(tuple(row.get(h) for h in HEADERS) for row in reader)
+
+
+ROW = "a,b,c,d,e,f,g,h,i"
+FILES = [
+    [HEADER, ROW, "   "], [HEADER, ROW, "\t", ""], [HEADER, ROW + "\r" + ROW], [HEADER, ROW, "short,row", ROW + ",extra"],
+    [HEADER, '"in\r\n""cell""","x\ny"tail,5" pipe', ROW], [HEADER, ROW, ROW],
+]
+
+
+@pytest.mark.parametrize("parser", PARSERS)
+@pytest.mark.parametrize("block", ["128m", "64"])
+def test_rows_are_those_of_a_character_wise_reader(spark, folder, parser, block):
+    want = Counter()
+    for i, lines in enumerate(FILES):
+        with open(put(folder, f"{i} é.csv", lines, "\n" if i % 2 else "\r\n"), "rb") as file:
+            want += by_python(file.read())
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": block, "spark.sql.files.openCostInBytes": "1"}):
+        assert Counter(map(tuple, scan_sales_csv(spark, folder, parser).collect())) == want
+
+
+def test_a_file_with_line_breaks_in_cells_is_read_by_several_tasks(spark, folder):
+    path = put(folder, "a.csv", [HEADER, *(cell_line(f'"{n}\nMain St"') for n in range(3000))], "\n")
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "16k"}):
+        assert spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions() > 3
+        assert addresses(scan_sales_csv(spark, path)) == sorted(f"{n}\nMain St" for n in range(3000))
 
 
 def test_missing_file_fails(spark, folder):

@@ -1,7 +1,11 @@
+import subprocess
+import sys
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dwellmart.operators.first_copy import first_copy
@@ -13,6 +17,7 @@ from dwellmart.sources.topic import to_envelopes
 from dwellmart.streaming.bronze import bronze_rows
 from dwellmart.streaming.silver import SilverTable, silver_rows, start_silver
 
+ROOT = Path(__file__).resolve().parent.parent
 DAY = date(2020, 2, 1)
 
 
@@ -158,3 +163,60 @@ def test_small_micro_batches_give_the_same_keys(spark, folder, sf_dir):
     stored = silver.read(spark).select(*SALE_KEY).dropna()
     assert stored.count() == expected.count()
     assert stored.exceptAll(expected).isEmpty()
+
+
+def upsert_in_another_process(folder, *addresses):
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from dwellmart.session import build_session
+from dwellmart.streaming.silver import SilverTable
+from tests.test_silver import sale, sales
+spark = build_session("other", "local[2]", spark__ui__enabled="false", spark__sql__warehouse__dir={folder!r} + "/other")
+SilverTable(spark, {folder!r} + "/silver", buckets=4).upsert(sales(spark, *map(sale, {addresses!r})), "other", 0)
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300, capture_output=True)
+
+
+def test_a_session_that_lives_on_sees_the_batches_of_others(spark, folder):
+    silver = table(spark, folder)
+    silver.upsert(sales(spark, sale("A")), "q", 0)
+    upsert_in_another_process(folder, "B")
+    silver.upsert(sales(spark, sale("B"), sale("A")), "q", 1)
+    assert kept(spark, silver) == [("A", ""), ("B", "")]
+
+
+def test_reading_alone_writes_nothing_and_a_new_table_needs_buckets(spark, folder):
+    with pytest.raises(AnalysisException):
+        SilverTable(spark, f"{folder}/silver").read(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.text(f"{folder}/silver")
+    with pytest.raises(ValueError, match="buckets"):
+        SilverTable(spark, f"{folder}/silver").upsert(sales(spark, sale("A")), "q", 0)
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_look_up_reads_only_the_dates_of_the_batch_in_place(spark, folder, limit):
+    silver = table(spark, folder)
+    silver.upsert(sales(spark, *(sale(f"{n}", day=date(2020, 1, 1 + n % 28)) for n in range(200))), "q", 0)
+    batch = sales(spark, sale("7", day=date(2020, 1, 8)), sale("new", day=date(2020, 1, 9)))
+    batch.write.parquet(f"{folder}/fresh")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": limit, "spark.sql.shuffle.partitions": "4"}
+    with session_conf(spark, settings):
+        found = silver.unseen(spark.read.schema(SILVER_SCHEMA).parquet(f"{folder}/fresh"), spark.table(silver.name))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert [r.address for r in found.collect()] == ["new"]
+    scan = plan[plan.index(f"{silver.name}[") :] if f"{silver.name}[" in plan else plan
+    assert "GreaterThanOrEqual(date_of_sale,2020-01-08)" in plan and "LessThanOrEqual(date_of_sale,2020-01-09)" in plan
+    assert "Bucketed: true" in plan or "Bucketed: false (disabled by query planner)" in scan
+
+
+def test_rewrite_keeps_the_rows_and_the_batches_that_may_come_again(spark, folder):
+    silver = table(spark, folder)
+    for n in range(3):
+        silver.upsert(sales(spark, sale(f"{n}"), sale("N", price=None)), "q", n)
+    larger = SilverTable(spark, f"{folder}/rewritten", buckets=2)
+    silver.rewrite(spark, larger)
+    assert kept(spark, larger) == kept(spark, silver) and larger.buckets == 2
+    larger.upsert(sales(spark, sale("2"), sale("N", price=None)), "q", 2)
+    assert kept(spark, larger) == kept(spark, silver)
