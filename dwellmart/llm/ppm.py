@@ -33,13 +33,15 @@ from dwellmart.llm.stored import fold, stored, text_bytes
 
 FOLDS, HELD_OUT = 5, 1
 DEPTH = 5
-CONTEXTS = 1 << 16
+CONTEXTS = 1 << 15
 HEAVY = 200_000
 BEFORE, END = b"\xfe" * DEPTH, b"\xff"
 #: The end of a text as a token; words are never empty.
 END_TOKEN = b""
 _MOST_COUNTED = 1 << 19
-_BYTES_AT_ONCE = 1 << 22
+_BYTES_AT_ONCE = 1 << 21
+#: Documents whose rows are put together at a time.
+_DOCS_AT_ONCE = 500
 
 
 # --- counting ---------------------------------------------------------------------------------------
@@ -102,7 +104,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, n = np.unique(grams_of(part), return_counts=True)
         every, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
         keys, counts = every, np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
-        if len(keys) > 4 * _MOST_COUNTED:
+        if len(keys) > 2 * _MOST_COUNTED:
             yield out()
             keys, counts = keys[:0], counts[:0]
     yield out()
@@ -161,9 +163,12 @@ class Model:
     """Log10 probabilities, ready to be looked up."""
 
     def __init__(self, trie: Trie):
-        c2 = np.zeros((1 << 16, 256), np.float32)
-        c2.reshape(-1)[trie.three[0]] = trie.three[1]
-        c1 = c2.reshape(256, 256, 256).sum(axis=0, dtype=np.float64)
+        grams, n = trie.three
+        contexts = np.unique(grams >> 8)
+        c2 = np.zeros((len(contexts), 256), np.float32)
+        c2[np.searchsorted(contexts, grams >> 8), grams & 255] = n
+        c1 = np.zeros((256, 256))
+        np.add.at(c1, (grams >> 8 & 255, grams & 255), n)
         c0 = c1.sum(axis=0, keepdims=True)
         uniform = np.full((1, 256), 1 / 256)
         p0, u0 = _order(c0, np.zeros((1, 256)), uniform)
@@ -172,18 +177,20 @@ class Model:
         p1, u1 = _order(c1, np.repeat(c0, 256, 0), np.repeat(u0, 256, 0))
         empty = ~c1.any(axis=1)
         p1[empty], u1[empty] = p0, u0
-        self.order2 = np.empty((1 << 16, 256), np.float32)
-        escaped2 = np.empty((1 << 16, 256), np.float32)
-        for first in range(256):
-            rows = slice(first * 256, first * 256 + 256)
-            p, u = _order(c2[rows].astype(np.float64), c1, u1)
-            none = ~c2[rows].any(axis=1)
-            p[none], u[none] = p1[none], u1[none]
-            self.order2[rows], escaped2[rows] = np.log10(np.maximum(p, 1e-300)), u
+        # Of two bytes that no training text has, only the last one counts: rows 0 to 255.
+        self.row2 = np.tile(np.arange(256), 256)
+        self.row2[contexts] = 256 + np.arange(len(contexts))
+        self.order2 = np.empty((256 + len(contexts), 256), np.float32)
+        self.order2[:256] = np.log10(np.maximum(p1, 1e-300))
+        escaped2 = np.empty_like(c2)
+        for start in range(0, len(contexts), 1024):
+            some, last = slice(start, start + 1024), contexts[start : start + 1024] & 255
+            p, escaped2[some] = _order(c2[some].astype(np.float64), c1[last], u1[last])
+            self.order2[256:][some] = np.log10(np.maximum(p, 1e-300))
         # At each longer order: the row of a context, by the row of its suffix and the byte before that.
         self.children: list[np.ndarray] = []
         self.orders: list[np.ndarray] = []
-        rows, counts, escaped = np.arange(1 << 16), c2, escaped2
+        rows, counts, escaped = contexts, c2, escaped2
         for order, (grams, n) in enumerate(trie.longer, 3):
             contexts = np.unique(grams >> 8)
             suffix, before = contexts & ((1 << 8 * (order - 1)) - 1), contexts >> 8 * (order - 1)
@@ -210,7 +217,9 @@ class Model:
             part = whole[start - DEPTH : start + _BYTES_AT_ONCE].astype(np.int32)
             n = len(part) - DEPTH
             symbol, row = part[DEPTH:], (part[DEPTH - 2 : DEPTH - 2 + n] << 8) | part[DEPTH - 1 : DEPTH - 1 + n]
-            found, place = self.order2[row, symbol], np.arange(n)
+            row = self.row2[row]
+            found, place = self.order2[row, symbol], np.flatnonzero(row >= 256)
+            row = row[place] - 256
             for order, (child, table) in enumerate(zip(self.children, self.orders, strict=True), 3):
                 row = child[row, part[place + DEPTH - order]]
                 known = row >= 0
@@ -276,7 +285,8 @@ def _score(batches: Iterator[pa.RecordBatch], given, under: float) -> Iterator[p
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
          ("base", pa.float64()), ("score", pa.float64())]
     )
-    for batch in batches:
+    names = [f.name for f in doc]
+    for batch in (b.slice(i, _DOCS_AT_ONCE) for b in batches for i in range(0, b.num_rows, _DOCS_AT_ONCE)):
         rows, tokens, counts, docs = [], [], [], []
         for doc_id, held_out, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             row += 1
@@ -289,15 +299,14 @@ def _score(batches: Iterator[pa.RecordBatch], given, under: float) -> Iterator[p
             rows.append(row)
             tokens.append(b" %d" % row)
             counts.append(0)
-            docs.append((doc_id, held_out, len(words), len(values), math.fsum(values), model.score(text)))
+            one = (doc_id, held_out, len(words), len(values), math.fsum(values), model.score(text))
+            docs.append(dict(zip(names, one, strict=True)))
             rows += [row] * len(rare)
             tokens += rare.keys()
             counts += rare.values()
             docs += [None] * len(rare)
         columns = [pa.array(rows, pa.int64()), pa.array(tokens, pa.binary()), pa.array(counts, pa.int64())]
-        names = [f.name for f in doc]
-        filled = [None if d is None else dict(zip(names, d, strict=True)) for d in docs]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(filled, doc)], names=["row", "token", "n", "doc"])
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(docs, doc)], names=["row", "token", "n", "doc"])
 
 
 _SCORED = (
