@@ -90,8 +90,14 @@ def test_fit_against_plain_numbers(spark):
     assert right == len(got) and sum((want[v] >= 0.5) == t for v, t in zip(votes, truth)) > 0.85 * len(votes)
 
 
+def clean_text(i):
+    """Fifteen sentences of plain words in an order of their own."""
+    words = [f"{'lorem ipsum dolor amet sit'.split()[(i * 7 + k * k) % 5]}{chr(97 + (i + k * 5) % 26)}" for k in range(120)]
+    return " ".join(w + "." * (k % 8 == 7) for k, w in enumerate(words))
+
+
 def test_clean_texts_stay_and_junk_goes(spark):
-    clean = [(i, ". ".join(f"some plain words number {i * 31 + k} in a row" for k in range(15)) + ".") for i in range(80)]
+    clean = [(i, clean_text(i)) for i in range(80)]
     junk = [(100 + i, " ".join(f"word{i * k}$$$ | ###" for k in range(60))) for i in range(15)]
     caps = [(200 + i, " ".join(f"LOUD{i * k}X!!" for k in range(60))) for i in range(10)]
     kept = {r.doc_id for r in quality.judge(documents(spark, clean + junk + caps)).where("kept").collect()}
@@ -99,8 +105,8 @@ def test_clean_texts_stay_and_junk_goes(spark):
 
 
 def test_only_clean_texts_all_stay(spark):
-    clean = [(i, ". ".join(f"some plain words number {i * 31 + k} in a row" for k in range(15)) + ".") for i in range(30)]
-    poem = [(99, "\n".join(f"no stop ends line {k} of this poem" for k in range(20)))]
+    clean = [(i, clean_text(i)) for i in range(30)]
+    poem = [(99, clean_text(99).replace(".", "\n"))]
     assert quality.judge(documents(spark, clean + poem)).where("kept").count() == 31
 
 
