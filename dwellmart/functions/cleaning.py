@@ -37,4 +37,5 @@ def yes_flag(text: Column) -> Column:
 
 def tidy_spaces(text: Column) -> Column:
     """One space between words and none around them. Only U+0020 counts: tabs and NBSP stay."""
+    # A single space is left as it is: only runs of two and more are rewritten.
     return F.trim(F.regexp_replace(text, " {2,}", " "))

@@ -37,6 +37,9 @@ def mart_rows(staged: DataFrame) -> DataFrame:
 
 
 def build_mart(spark: SparkSession, gold: DataFrame) -> DataFrame:
-    """Summary -> named source -> staging view -> mart, as one lazy plan."""
+    """Summary -> named source -> staging view -> mart, as one lazy plan over the summary.
+
+    Making that summary is not lazy: ``summarise_prices`` stores its first pass when it is called.
+    """
     register_source(gold)
     return mart_rows(staging_view(spark))
