@@ -14,9 +14,8 @@ words, two different windows are taken for one with a chance of 10^-11.
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellmart.llm.stored import NOT_WHITE, stored
@@ -109,47 +108,72 @@ class Fit:
     given_good: dict[str, dict[int, float]]
     given_bad: dict[str, dict[int, float]]
 
+    @property
+    def prior(self) -> float:
+        return math.log(self.share) - math.log1p(-self.share)
+
+    def gains(self, rule: str) -> dict[int, float]:
+        """What each vote of a rule adds to the logarithm of the odds."""
+        good, bad = self.given_good[rule], self.given_bad[rule]
+        return {v: min(max(math.log(good[v]) - math.log(bad[v]), -MOST_GAIN), MOST_GAIN) for v in VOTES}
+
     def posterior(self) -> Column:
         """Probability that a document is good, from its vote columns."""
-        odds = F.lit(math.log(self.share) - math.log1p(-self.share))
-        for rule, good in self.given_good.items():
-            gain = {v: math.log(good[v]) - math.log(self.given_bad[rule][v]) for v in VOTES}
-            for v in VOTES:
-                bounded = min(max(gain[v], -MOST_GAIN), MOST_GAIN)
-                odds = odds + F.when(F.col(rule) == v, bounded).otherwise(0.0)
+        odds = F.lit(self.prior)
+        for rule in self.given_good:
+            for v, gain in self.gains(rule).items():
+                odds = odds + F.when(F.col(rule) == v, gain).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 
-def _refit(patterns: DataFrame, names: list[str], good: Column) -> Fit:
+def _rates(sums: list, names: list[str]) -> Fit:
     """Maximisation: the rates that the posterior of each pattern implies."""
-    n = F.col("n")
-    sums = [F.sum(n * good).alias("good"), F.sum(n * (1 - good)).alias("bad")]
-    for rule in names:
-        for v in VOTES:
-            here = F.when(F.col(rule) == v, n).otherwise(0)
-            sums += [F.sum(here * good).alias(f"{rule} {v} good"), F.sum(here * (1 - good)).alias(f"{rule} {v} bad")]
-    row = patterns.agg(*sums).first()
+    found = {(row.rule, row.vote): row for row in sums}
+
+    def total(kind: str, rule: str) -> float:
+        return sum(found[rule, v][kind] for v in VOTES if (rule, v) in found)
 
     def rates(kind: str) -> dict[str, dict[int, float]]:
         # One document's worth of every vote is added, so that no rate is 0.
-        total = (row[kind] or 0) + len(VOTES)
-        return {rule: {v: ((row[f"{rule} {v} {kind}"] or 0) + 1) / total for v in VOTES} for rule in names}
+        return {
+            rule: {
+                v: ((found[rule, v][kind] if (rule, v) in found else 0.0) + 1) / (total(kind, rule) + len(VOTES))
+                for v in VOTES
+            }
+            for rule in names
+        }
 
-    good_docs, bad_docs = row["good"] or 0, row["bad"] or 0
-    share = (good_docs + 1) / (good_docs + bad_docs + 2)
+    good, bad = total("good", names[0]), total("bad", names[0])
+    share = (good + 1) / (good + bad + 2)
     return Fit(min(max(share, SHARE[0]), SHARE[1]), rates("good"), rates("bad"))
 
 
 def fit(votes: DataFrame, names: list[str], rounds: int = ROUNDS) -> Fit:
     """Fit over a table with one vote column per rule. It starts from: bad with any bad vote.
 
-    A table without rows gives rates that favour nothing.
+    A table without rows gives rates that favour nothing. The rates of a round reach the next one as a
+    table of a few rows, not as literals, so that all rounds share their compiled code.
     """
-    patterns = stored(votes.groupBy(*names).agg(F.count("*").alias("n")), "patterns").coalesce(1)
-    any_bad = reduce(lambda a, b: a | b, (F.col(rule) == -1 for rule in names))
-    found = _refit(patterns, names, F.when(any_bad, 0.1).otherwise(0.9))
+    spark = votes.sparkSession
+    patterns = votes.groupBy(*names).agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id())
+    cast = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).cast("int").alias("vote")) for r in names)))
+    # At most 3^R patterns of R votes each: one task is enough.
+    cast_votes = stored(patterns.select("id", "n", cast.alias("one")).select("id", "n", "one.*"), "patterns").coalesce(1)
+    pattern = Window.partitionBy("id")
+
+    def sums(rows: DataFrame, good: Column) -> list:
+        weighed = rows.withColumn("p", good)
+        n, p = F.col("n"), F.col("p")
+        return weighed.groupBy("rule", "vote").agg(F.sum(n * p).alias("good"), F.sum(n * (1 - p)).alias("bad")).collect()
+
+    found = _rates(sums(cast_votes, F.when(F.min("vote").over(pattern) == -1, 0.1).otherwise(0.9)), names)
     for _ in range(rounds):
-        found = _refit(patterns, names, found.posterior())
+        rows = ", ".join(
+            f"('{rule}', {v}, {gain!r}D, {found.prior!r}D)" for rule in names for v, gain in found.gains(rule).items()
+        )
+        gains = F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS gains(rule, vote, gain, prior)"))
+        odds = F.sum("gain").over(pattern) + F.col("prior")
+        found = _rates(sums(cast_votes.join(gains, ["rule", "vote"]), 1 / (1 + F.exp(-odds))), names)
     return found
 
 
