@@ -6,11 +6,12 @@ made for all training texts, each task adding up its own before the shuffle. Tex
 that UTF-8 never uses: 0xFE stands before a text and 0xFF ends it, so the end of a text is a symbol too.
 
 A byte is coded in the longest context that the model holds. Escape is estimated by method D (half an
-escape for each distinct byte seen, taken off that byte's count); on escape, the bytes seen in the longer context are excluded from the
-shorter one, down to order 0 and then to a uniform choice among what is left. The model is pretrained, so
-the probability of a byte in a context is a constant. The scorer works them out once for every context of
-two bytes and, at each longer order, for the contexts that hold at least 1/``CONTEXTS`` of all symbols (so
-there are at most that many), and then only looks them up, going down the trie byte by byte.
+escape for each distinct byte seen, taken off that byte's count); on escape, the bytes seen in the longer
+context are excluded from the shorter one, down to order 0 and then to a uniform choice among what is left.
+The model is pretrained, so both the probability of a byte seen in a context and the cost of an escape are
+constants. The scorer keeps, at each order, the grams that hold at least 1/``GRAMS`` of all symbols (so there are at
+most that many); what a context loses by that is added to its escape. The longest context is tried
+first, for all bytes of many texts at a time.
 
 The baseline looks every word up in the training counts. Words with at least 1/``HEAVY`` of all tokens are
 at most that many and are broadcast; all others meet their counts in a join.
@@ -19,27 +20,28 @@ at most that many and are broadcast; all others meet their counts in a join.
 import math
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.llm.stored import fold, stored, text_bytes
 
 FOLDS, HELD_OUT = 5, 1
 DEPTH = 5
-CONTEXTS = 1 << 15
+GRAMS = 1 << 20
 HEAVY = 200_000
 BEFORE, END = b"\xfe" * DEPTH, b"\xff"
 #: The end of a text as a token; words are never empty.
 END_TOKEN = b""
 _MOST_COUNTED = 1 << 19
-_BYTES_AT_ONCE = 1 << 21
+_BYTES_AT_ONCE = 1 << 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Documents whose rows are put together at a time.
 _DOCS_AT_ONCE = 500
 
@@ -64,33 +66,44 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield out()
 
 
-def grams_of(framed: np.ndarray) -> np.ndarray:
-    """The six-byte grams of framed texts, as numbers, without those that end in a frame byte before a text."""
-    b, n = framed.astype(np.int64), len(framed) - DEPTH
+def _windows(framed: np.ndarray) -> np.ndarray:
+    """The six bytes that end at each byte from the sixth on, as numbers."""
+    n = len(framed) - DEPTH
     grams = np.zeros(n, np.int64)
     for i in range(DEPTH + 1):
-        grams = (grams << 8) | b[i : i + n]
-    return grams[framed[DEPTH:] != BEFORE[0]]
+        grams <<= 8
+        grams |= framed[i : i + n]
+    return grams
+
+
+def grams_of(framed: np.ndarray) -> np.ndarray:
+    """The six-byte grams of framed texts, without those that end in a frame byte before a text."""
+    return _windows(framed)[framed[DEPTH:] != BEFORE[0]]
 
 
-def _framed_parts(texts: Iterator[bytes]) -> Iterator[np.ndarray]:
-    """Framed texts put together to arrays of some MB; a longer text runs over several of them."""
-    held, size = [], 0
-    for text in texts:
+def _framed_parts(texts: Iterable[bytes]) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
+    """Framed texts put together to arrays of some size; a longer text runs over several of them.
+
+    Each comes with the numbers of the texts in it and how many symbols of each it holds. A part that goes
+    on with a text stands alone: its first bytes are context only.
+    """
+    owners, sizes, held, size = [], [], [], 0
+    for number, text in enumerate(texts):
         whole = BEFORE + text + END
         for start in range(0, len(whole) - DEPTH, _BYTES_AT_ONCE):
             part = whole[start : start + _BYTES_AT_ONCE + DEPTH]
             if start:
-                # A part that goes on must stand alone: its first bytes are context only.
-                yield np.frombuffer(part, np.uint8)
+                yield [number], [len(part) - DEPTH], np.frombuffer(part, np.uint8)
                 continue
+            owners.append(number)
+            sizes.append(len(part) - DEPTH)
             held.append(part)
             size += len(part)
         if size >= _BYTES_AT_ONCE:
-            yield np.frombuffer(b"".join(held), np.uint8)
-            held, size = [], 0
+            yield owners, sizes, np.frombuffer(b"".join(held), np.uint8)
+            owners, sizes, held, size = [], [], [], 0
     if held:
-        yield np.frombuffer(b"".join(held), np.uint8)
+        yield owners, sizes, np.frombuffer(b"".join(held), np.uint8)
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +113,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["gram", "n"])
 
-    for part in _framed_parts(texts):
+    for _, _, part in _framed_parts(texts):
         new, n = np.unique(grams_of(part), return_counts=True)
         every, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
         keys, counts = every, np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
@@ -123,135 +136,162 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 # --- the model --------------------------------------------------------------------------------------
 
 
-def _no_counts() -> tuple[np.ndarray, np.ndarray]:
-    return np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-
 @dataclass(frozen=True)
 class Trie:
-    """Counts that the model is made of, as (grams, counts).
+    """Counts that the model is made of: for each order from 0 on, (grams, counts) of the kept grams.
 
-    ``three``: all three-byte grams; ``longer``: for each order from 3 on, the grams of the kept contexts.
+    ``total``: how many symbols were counted, those of grams that are not kept among them.
     """
 
-    three: tuple[np.ndarray, np.ndarray] = field(default_factory=_no_counts)
-    longer: tuple[tuple[np.ndarray, np.ndarray], ...] = ()
+    orders: tuple[tuple[np.ndarray, np.ndarray], ...] = ()
+    total: int = 0
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
-def _order(counts: np.ndarray, lower: np.ndarray, unseen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities in contexts with these counts, and after an escape from them.
-
-    ``counts``, one row per context; ``lower``: counts of its suffix; ``unseen``: what the suffix gives to
-    bytes it has not seen, after an escape from it.
-    """
-    seen = counts > 0
-    left = np.where(seen, 0, lower)
-    total, kinds = left.sum(axis=1, keepdims=True), (left > 0).sum(axis=1, keepdims=True)
-    under = np.where(kinds > 0, 2 * total, 1)
-    deeper = np.where(kinds > 0, kinds / under, 1.0)
-    escaped = np.where(seen, 0.0, np.where(left > 0, (2 * left - 1) / under, deeper * unseen))
-    # The suffix may have seen every byte; then nothing is left for deeper orders.
-    escaped /= np.maximum(escaped.sum(axis=1, keepdims=True), 1e-300)
-    t, q = counts.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True)
-    twice = np.maximum(2 * t, 1)
-    here = np.where(q == 256, 2 * counts / twice, np.where(seen, 2 * counts - 1, 0) / twice + q / twice * escaped)
-    return np.where(t > 0, here, 0.0), escaped
+def _low(keys: np.ndarray, count: int) -> np.ndarray:
+    """The last ``count`` bytes of grams."""
+    return keys & np.int64((1 << 8 * count) - 1)
+
+
+class _Table:
+    """Places of many keys at a time: an open-addressed table of numbers that are not negative."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.at = np.zeros(len(keys), np.int64)
+        todo, place = np.arange(len(keys)), self._first(keys)
+        while len(todo):
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[todo[free]]
+            here = self.keys[place] == keys[todo]
+            self.at[todo[here]] = place[here]
+            todo, place = todo[~here], self._next(place[~here])
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _next(self, place: np.ndarray) -> np.ndarray:
+        return (place + 1) & (len(self.keys) - 1)
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """Values of the keys, each at the place of its key."""
+        column = np.zeros(len(self.keys), np.float32)
+        column[self.at] = values
+        return column
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where there is none."""
+        place = self._first(keys)
+        got = self.keys[place]
+        going = np.flatnonzero((got != keys) & (got >= 0))
+        place[(got != keys) & (got < 0)] = -1
+        while len(going):
+            place[going] = self._next(place[going])
+            got = self.keys[place[going]]
+            place[going[got < 0]] = -1
+            going = going[(got != keys[going]) & (got >= 0)]
+        return place
 
 
 class Model:
-    """Log10 probabilities, ready to be looked up."""
+    """Log10 probabilities of the kept grams, and what an escape from each context costs.
+
+    The counts of a context's symbols that are not kept belong to its escape, so the probabilities of a
+    context still add up to one. What is kept in a context is kept in its suffix as well, so excluding the
+    symbols of the last context excludes those of all before it.
+    """
 
     def __init__(self, trie: Trie):
-        grams, n = trie.three
-        contexts = np.unique(grams >> 8)
-        c2 = np.zeros((len(contexts), 256), np.float32)
-        c2[np.searchsorted(contexts, grams >> 8), grams & 255] = n
-        c1 = np.zeros((256, 256))
-        np.add.at(c1, (grams >> 8 & 255, grams & 255), n)
-        c0 = c1.sum(axis=0, keepdims=True)
-        uniform = np.full((1, 256), 1 / 256)
-        p0, u0 = _order(c0, np.zeros((1, 256)), uniform)
-        if not c0.any():
-            p0 = u0 = uniform
-        p1, u1 = _order(c1, np.repeat(c0, 256, 0), np.repeat(u0, 256, 0))
-        empty = ~c1.any(axis=1)
-        p1[empty], u1[empty] = p0, u0
-        # Of two bytes that no training text has, only the last one counts: rows 0 to 255.
-        self.row2 = np.tile(np.arange(256), 256)
-        self.row2[contexts] = 256 + np.arange(len(contexts))
-        self.order2 = np.empty((256 + len(contexts), 256), np.float32)
-        self.order2[:256] = np.log10(np.maximum(p1, 1e-300))
-        escaped2 = np.empty_like(c2)
-        for start in range(0, len(contexts), 1024):
-            some, last = slice(start, start + 1024), contexts[start : start + 1024] & 255
-            p, escaped2[some] = _order(c2[some].astype(np.float64), c1[last], u1[last])
-            self.order2[256:][some] = np.log10(np.maximum(p, 1e-300))
-        # At each longer order: the row of a context, by the row of its suffix and the byte before that.
-        self.children: list[np.ndarray] = []
-        self.orders: list[np.ndarray] = []
-        rows, counts, escaped = contexts, c2, escaped2
-        for order, (grams, n) in enumerate(trie.longer, 3):
-            contexts = np.unique(grams >> 8)
-            suffix, before = contexts & ((1 << 8 * (order - 1)) - 1), contexts >> 8 * (order - 1)
-            parent = np.searchsorted(rows, suffix)
-            child = np.full((len(rows), 256), -1, np.int32)
-            child[parent, before] = np.arange(len(contexts))
-            own = np.zeros((len(contexts), 256), np.float32)
-            own[np.searchsorted(contexts, grams >> 8), grams & 255] = n
-            table, under = np.empty_like(own), np.empty_like(own)
-            for start in range(0, len(contexts), 1024):
-                some = slice(start, start + 1024)
-                above = parent[some]
-                p, u = _order(*(x.astype(np.float64) for x in (own[some], counts[above], escaped[above])))
-                table[some], under[some] = np.log10(np.maximum(p, 1e-300)), u
-            self.children.append(child)
-            self.orders.append(table)
-            rows, counts, escaped = contexts, own, under
-
-    def score(self, text: bytes) -> float:
-        """Log10 probability of the text and its end."""
-        whole = np.frombuffer(BEFORE + text + END, np.uint8)
-        total = 0.0
-        for start in range(DEPTH, len(whole), _BYTES_AT_ONCE):
-            part = whole[start - DEPTH : start + _BYTES_AT_ONCE].astype(np.int32)
-            n = len(part) - DEPTH
-            symbol, row = part[DEPTH:], (part[DEPTH - 2 : DEPTH - 2 + n] << 8) | part[DEPTH - 1 : DEPTH - 1 + n]
-            row = self.row2[row]
-            found, place = self.order2[row, symbol], np.flatnonzero(row >= 256)
-            row = row[place] - 256
-            for order, (child, table) in enumerate(zip(self.children, self.orders, strict=True), 3):
-                row = child[row, part[place + DEPTH - order]]
-                known = row >= 0
-                row, place = row[known], place[known]
-                found[place] = table[row, symbol[place]]
-            total += float(found.sum(dtype=np.float64))
+        self.grams: list[tuple[_Table, np.ndarray, np.ndarray]] = []
+        self.contexts: list[tuple[_Table, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.unseen = 256
+        ends = 0
+        above = None
+        for order, (found, counts) in enumerate(trie.orders):
+            sort = np.argsort(found)
+            keys, n = found[sort], counts[sort]
+            if not order:
+                ends = int(n[keys == END[0]].sum())
+                self.unseen -= len(keys)
+            contexts, row, kinds = np.unique(keys >> 8, return_inverse=True, return_counts=True)
+            weight = np.bincount(row, 2 * n - 1, len(contexts))
+            left, deeper = np.ones(len(contexts)), np.ones(len(contexts))
+            if above is None:
+                times = np.full(len(contexts), trie.total)
+            else:
+                above_keys, above_n, above_contexts, above_times, above_weight = above
+                # A context was there as often as its own gram; before a text, as often as texts ended.
+                framed = contexts == int.from_bytes(BEFORE[:order])
+                at = np.searchsorted(above_keys, np.where(framed, above_keys[:1], contexts))
+                times = np.where(framed, ends, above_n[at])
+                suffix = np.searchsorted(above_contexts, _low(contexts, order - 1))
+                excluded = np.bincount(row, above_n[np.searchsorted(above_keys, _low(keys, order))], len(contexts))
+                left = above_times[suffix] - excluded
+                rest = 2 * left - (above_weight[suffix] - (2 * excluded - kinds))
+                deeper = np.where(left > 0, rest / np.maximum(2 * left, 1), 1.0)
+            table = _Table(keys)
+            here = np.log10((2 * n - 1) / (2 * times[row]))
+            self.grams.append((table, table.spread(here), table.spread(np.log10(2 * n - 1))))
+            table = _Table(contexts)
+            escape = np.log10((2 * times - weight) / (2 * times))
+            under = np.log10(np.maximum(2 * left, 1))
+            self.contexts.append((table, table.spread(escape), table.spread(under), table.spread(np.log10(deeper))))
+            above = keys, n, contexts, times, weight
+
+    def logs(self, grams: np.ndarray) -> np.ndarray:
+        """Log10 probability of the last byte of each gram after the bytes before it."""
+        result, spent = np.zeros(len(grams)), np.zeros(len(grams))
+        under, deeper = np.zeros(len(grams), np.float32), np.zeros(len(grams), np.float32)
+        escaped = np.zeros(len(grams), bool)
+        todo = np.arange(len(grams))
+        for order in reversed(range(len(self.grams))):
+            keys = _low(grams[todo], order + 1)
+            table, here, top = self.grams[order]
+            place = table.find(keys)
+            seen = place >= 0
+            one, at = todo[seen], place[seen]
+            result[one] = np.where(escaped[one], spent[one] + top[at] - under[one], here[at])
+            todo, keys = todo[~seen], keys[~seen]
+            table, escape, next_under, next_deeper = self.contexts[order]
+            place = table.find(keys >> 8)
+            one, at = todo[place >= 0], place[place >= 0]
+            spent[one] += np.where(escaped[one], deeper[one], escape[at])
+            under[one], deeper[one], escaped[one] = next_under[at], next_deeper[at], True
+        result[todo] = spent[todo] - math.log10(max(self.unseen, 1))
+        return result
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """Log10 probability of each text and its end."""
+        total = np.zeros(len(texts))
+        for owners, sizes, framed in _framed_parts(texts):
+            # The first bytes of each part are context only.
+            inner = np.ones(len(framed) - DEPTH, bool)
+            starts = np.cumsum(np.array(sizes) + DEPTH)[:-1]
+            inner[(starts[:, None] - np.arange(1, DEPTH + 1)).ravel()] = False
+            logs = self.logs(_windows(framed)[inner])
+            total += np.bincount(np.repeat(owners, sizes), logs, len(texts))
         return total
 
 
-def trie_of(grams: DataFrame, most_contexts: int = CONTEXTS) -> Trie:
+def trie_of(grams: DataFrame, most_grams: int = GRAMS) -> Trie:
     """The part of the counted trie that the model keeps: bounded, though the counts are not.
 
-    At most 2^24 three-byte grams, and at each longer order the followers of at most ``most_contexts`` contexts.
+    At each order, the grams with at least 1/``most_grams`` of all symbols, so at most that many.
     """
     total = grams.agg(F.sum("n")).first()[0] or 0
+    # All three-byte grams are at most 2^24 rows.
+    short = stored(grams.groupBy(_low_bytes(3)).agg(F.sum("n").alias("n")), "short")
+    orders = []
+    for order in range(DEPTH + 1):
+        counted = (short if order < 3 else grams).groupBy(_low_bytes(order + 1)).agg(F.sum("n").alias("n"))
+        kept = counted.where(F.col("n") * most_grams >= total).toArrow()
+        orders.append((kept["gram"].to_numpy(), kept["n"].to_numpy()))
+    return Trie(tuple(orders), total) if total else Trie()
 
-    def low_bytes(count: int):
-        return F.col("gram").bitwiseAND(F.lit((1 << 8 * count) - 1).cast("long")).alias("gram")
-
-    def arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        got = rows.toArrow()
-        return got["gram"].to_numpy(), got["n"].to_numpy()
 
-    three = arrays(grams.groupBy(low_bytes(3)).agg(F.sum("n").alias("n")))
-    longer = []
-    for order in range(3, DEPTH + 1):
-        counted = grams.groupBy(low_bytes(order + 1)).agg(F.sum("n").alias("n"))
-        context = F.shiftright("gram", 8)
-        shares = counted.groupBy(context.alias("context")).agg(F.sum("n").alias("in_context"))
-        frequent = shares.where(F.col("in_context") * most_contexts >= total).select("context")
-        longer.append(arrays(counted.join(F.broadcast(frequent), context == F.col("context"), "left_semi")))
-    return Trie(three, tuple(longer))
+def _low_bytes(count: int) -> Column:
+    return F.col("gram").bitwiseAND(F.lit((1 << 8 * count) - 1).cast("long")).alias("gram")
 
 
 # --- scoring ----------------------------------------------------------------------------------------
@@ -288,7 +328,8 @@ def _score(batches: Iterator[pa.RecordBatch], given, under: float) -> Iterator[p
     names = [f.name for f in doc]
     for batch in (b.slice(i, _DOCS_AT_ONCE) for b in batches for i in range(0, b.num_rows, _DOCS_AT_ONCE)):
         rows, tokens, counts, docs = [], [], [], []
-        for doc_id, held_out, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        ids, folds, texts = (batch.column(i).to_pylist() for i in range(3))
+        for doc_id, held_out, text, score in zip(ids, folds, texts, model.scores(texts).tolist(), strict=True):
             row += 1
             words = text.lower().split()
             words.append(END_TOKEN)
@@ -299,7 +340,7 @@ def _score(batches: Iterator[pa.RecordBatch], given, under: float) -> Iterator[p
             rows.append(row)
             tokens.append(b" %d" % row)
             counts.append(0)
-            one = (doc_id, held_out, len(words), len(values), math.fsum(values), model.score(text))
+            one = (doc_id, held_out, len(words), len(values), math.fsum(values), score)
             docs.append(dict(zip(names, one, strict=True)))
             rows += [row] * len(rare)
             tokens += rare.keys()
@@ -315,7 +356,7 @@ _SCORED = (
 )
 
 
-def scored(docs: DataFrame, most_contexts: int = CONTEXTS, heavy: int = HEAVY) -> DataFrame:
+def scored(docs: DataFrame, most_grams: int = GRAMS, heavy: int = HEAVY) -> DataFrame:
     """Documents -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row.
 
     Learns from the rows outside the held-out fold. NULL and empty texts are the end alone. Repeated rows
@@ -334,7 +375,7 @@ def scored(docs: DataFrame, most_contexts: int = CONTEXTS, heavy: int = HEAVY) -
     under = n + 0.5 * (v + 1)
     frequent = counts.where(F.col("c") * heavy >= n).toArrow()
     tokens = dict(zip(frequent["token"].to_pylist(), frequent["c"].to_pylist(), strict=True))
-    given = spark.sparkContext.broadcast((trie_of(gram_counts(training), most_contexts), tokens))
+    given = spark.sparkContext.broadcast((trie_of(gram_counts(training), most_grams), tokens))
     parts = rows.mapInArrow(partial(_score, given=given, under=under), _SCORED)
     met = parts.join(counts, "token", "left")
     gain = F.when(F.col("n") > 0, F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / under)).otherwise(0.0)

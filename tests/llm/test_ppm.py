@@ -12,8 +12,8 @@ from dwellmart.llm.queries import QUERIES
 from tests.llm.conftest import ODD, documents
 
 
-def plain_score(training, text):
-    """PPM by its definition, with one dictionary of counts per order."""
+def plain_score(training, text, least=1):
+    """PPM by its definition, with one dictionary of counts per order; grams below ``least`` are not kept."""
     counts = [defaultdict(Counter) for _ in range(ppm.DEPTH + 1)]
     for one in training:
         whole = ppm.BEFORE + one + ppm.END
@@ -25,22 +25,23 @@ def plain_score(training, text):
         excluded, p = set(), 1.0
         for k in range(ppm.DEPTH, -1, -1):
             seen = counts[k].get(whole[i - k : i], {})
-            left = {s: n for s, n in seen.items() if s not in excluded}
-            if not left:
+            kept = {s: n for s, n in seen.items() if n >= least}
+            left = {s: n for s, n in kept.items() if s not in excluded}
+            twice = 2 * sum(n for s, n in seen.items() if s not in excluded)
+            if not kept or not twice:
                 continue
-            twice = 2 * sum(left.values())
             if whole[i] in left:
                 p *= (2 * left[whole[i]] - 1) / twice
                 break
-            p *= len(left) / twice
-            excluded |= set(seen)
+            p *= 1 - sum(2 * n - 1 for n in left.values()) / twice
+            excluded |= set(kept)
         else:
             p /= 256 - len(excluded)
         total += math.log10(p)
     return total
 
 
-def trie(training):
+def trie(training, least=1):
     grams = Counter()
     for one in training:
         grams.update(ppm.grams_of(np.frombuffer(ppm.BEFORE + one + ppm.END, np.uint8)).tolist())
@@ -49,35 +50,52 @@ def trie(training):
         sums = Counter()
         for gram, count in grams.items():
             sums[gram & ((1 << 8 * n) - 1)] += count
-        return np.array(list(sums), np.int64), np.array(list(sums.values()), np.int64)
+        kept = {gram: count for gram, count in sums.items() if count >= least}
+        return np.array(list(kept), np.int64), np.array(list(kept.values()), np.int64)
 
-    return ppm.Trie(low(3), tuple(low(k + 1) for k in range(3, ppm.DEPTH + 1)))
+    return ppm.Trie(tuple(low(k + 1) for k in range(ppm.DEPTH + 1)), grams.total())
 
 
 TRAINING = [b"the cat sat on the mat", b"the cat ran", b"", b"a cat and a dog sat", "été au lit".encode(), b"aaaaaaaaab"]
-MODEL = ppm.Model(trie(TRAINING))
+MODELS = {least: ppm.Model(trie(TRAINING, least)) for least in (1, 2, 3)}
+MODEL = MODELS[1]
+TEXTS = st.lists(st.sampled_from(["the ", "cat", " sat", "a", "é", "z"]), max_size=10).map(lambda p: "".join(p).encode())
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.one_of(st.binary(max_size=30), st.lists(st.sampled_from(["the ", "cat", " sat", "a", "é", "z"]), max_size=10).map(lambda p: "".join(p).encode())))
-def test_score_by_definition(text):
-    assert MODEL.score(text) == pytest.approx(plain_score(TRAINING, text), rel=1e-5)
+@given(st.one_of(st.binary(max_size=30), TEXTS), st.sampled_from([1, 2, 3]))
+def test_score_by_definition(text, least):
+    assert MODELS[least].scores([text])[0] == pytest.approx(plain_score(TRAINING, text, least), rel=1e-5)
 
 
-def test_probabilities_of_a_context_add_up_to_one():
-    for table in (MODEL.order2, *MODEL.orders):
-        assert np.allclose((10.0 ** table.astype(np.float64)).sum(axis=1), 1, atol=1e-5)
+@settings(max_examples=60, deadline=None)
+@given(TEXTS, st.sampled_from([1, 2, 3]))
+def test_probabilities_of_a_context_add_up_to_one(text, least):
+    context = int.from_bytes((ppm.BEFORE + text)[-ppm.DEPTH :]) << 8
+    assert (10.0 ** MODELS[least].logs(context + np.arange(256))).sum() == pytest.approx(1, abs=1e-5)
 
 
 def test_without_training_every_byte_is_as_likely():
-    assert ppm.Model(ppm.Trie()).score(b"abc") == pytest.approx(4 * math.log10(1 / 256))
+    assert ppm.Model(ppm.Trie()).scores([b"abc"])[0] == pytest.approx(4 * math.log10(1 / 256))
 
 
 def test_long_texts_go_in_parts(monkeypatch):
-    whole, grams = MODEL.score(TRAINING[0]), Counter(np.concatenate([ppm.grams_of(p) for p in ppm._framed_parts(iter(TRAINING))]).tolist())
+    def grams():
+        return Counter(np.concatenate([ppm.grams_of(p) for _, _, p in ppm._framed_parts(TRAINING)]).tolist())
+
+    whole, counted = MODEL.scores(TRAINING), grams()
     monkeypatch.setattr(ppm, "_BYTES_AT_ONCE", 7)
-    assert MODEL.score(TRAINING[0]) == pytest.approx(whole)
-    assert Counter(np.concatenate([ppm.grams_of(p) for p in ppm._framed_parts(iter(TRAINING))]).tolist()) == grams
+    assert MODEL.scores(TRAINING) == pytest.approx(whole)
+    assert grams() == counted
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.integers(0, 1 << 48), max_size=300), st.lists(st.integers(0, 1 << 48), max_size=50))
+def test_table_finds_its_keys_and_no_others(keys, others):
+    table = ppm._Table(np.array(sorted(keys), np.int64))
+    asked = np.array([*keys, *others], np.int64)
+    place = table.find(asked)
+    assert [table.keys[p] if p >= 0 else None for p in place] == [k if k in keys else None for k in asked.tolist()]
 
 
 def check(docs, rows):
