@@ -121,6 +121,7 @@ def _send_down(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.R
 def leaves(vectors: DataFrame, least: float, trees: int, leaf: int, sample: int) -> DataFrame:
     """(vector, label, dim, embedding) -> the same with tree and path, once for every leaf it is in."""
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long")))
+    kind = vectors.schema["embedding"].dataType.simpleString()
     rows = vectors.select("*", numbers.alias("tree"), F.lit(1).cast("long").alias("path"), F.lit(False).alias("final"))
     done = []
     while True:
@@ -140,7 +141,7 @@ def leaves(vectors: DataFrame, least: float, trees: int, leaf: int, sample: int)
         )
         sent = growing.drop("members").join(splits, _NODE).mapInArrow(
             partial(_send_down, least=least),
-            "vector long, label long, dim long, embedding array<float>, tree long, path long, final boolean",
+            f"vector long, label long, dim long, embedding {kind}, tree long, path long, final boolean",
         )
         # A node is split at once or never again, so what is not split now is a leaf.
         done.append(rows.where("final").unionByName(rows.where("not final").join(large, _NODE, "left_anti")))
@@ -242,8 +243,11 @@ def near_duplicates(
     odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     usable = F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~odd & some
+    # Only components of single precision are kept as such; others would lose digits, or overflow.
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
     rows = vectors.select(
-        "vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding")
+        "vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast(kind).alias("embedding")
     ).withColumn("usable", F.coalesce(usable, F.lit(False)))
     classes = stored(
         rows.where("usable")

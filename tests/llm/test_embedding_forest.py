@@ -84,3 +84,12 @@ def test_registered_query_against_all_pairs(spark, sf_dir):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     found = QUERIES["op1_embedding_forest"](spark, sf_dir)
     assert got(found) == plain(rows)
+
+
+def test_double_vectors_keep_their_digits(on_workers):
+    rows = clustered(200) + [(1002, [1.0, 1e-9], 6), (1003, [1.0, 0.0], 6)]
+    large = [(1000, [1e300, 1e300], 5), (1001, [2e300, 2e300], 5)]  # too large for single precision
+    frame = on_workers.createDataFrame(rows + large, "vec_id long, embedding array<double>, label int")
+    found = got(forest.near_duplicates(frame, leaf=40))
+    # The lengths of the large ones overflow in the plain version.
+    assert found == plain(rows) | {1000: (1, 1000), 1001: (1, 1000)}

@@ -87,3 +87,14 @@ def test_registered_query_against_definition(spark, sf_dir):
     assert len(rows) == len(texts) and any(r.n_base for r in rows)
     for row in rows:
         assert {k: row[k] for k in plain_base(texts[row.doc_id])} == plain_base(texts[row.doc_id])
+
+
+def test_spans_stand_where_their_words_do():
+    words = b"use the mit license or the apache license version 2 0 or else spdx license identifier mit".split()
+    spans = scan.scan_text(b" ".join(words))["spans"]
+    said = [(s["label"], b" ".join(words[s["first_word"] : s["first_word"] + s["n_words"]])) for s in spans]
+    assert said == [
+        ("mit", b"mit license"),
+        ("apache", b"apache license version 2 0"),
+        ("mit", b"spdx license identifier mit"),
+    ]
