@@ -8,21 +8,21 @@ that UTF-8 never uses: 0xFE stands before a text and 0xFF ends it, so the end of
 A byte is coded in the longest context that the model holds. Escape is estimated by method D (half an
 escape for each distinct byte seen, taken off that byte's count); on escape, the bytes seen in the longer
 context are excluded from the shorter one, down to order 0 and then to a uniform choice among what is left.
-The model is pretrained, so both the probability of a byte seen in a context and the cost of an escape are
-constants. The scorer keeps, at each order, the grams that hold at least 1/``GRAMS`` of all symbols (so there are at
-most that many); what a context loses by that is added to its escape. The longest context is tried
-first, for all bytes of many texts at a time.
+The model is pretrained, so the probability of a byte is a constant of the six-byte gram that it ends. All
+different grams of the table, those of held-out texts too, are priced once from the whole trie: grams that end in
+the same three context bytes come to one task, which has all that orders 3 to 5 need; the counts of three-byte
+grams, which the lower orders need, are broadcast. The prices of the most frequent grams, at most ``GRAMS``, are
+broadcast to the scorer; all other grams meet theirs in a join.
 
 The baseline looks every word up in the training counts. Words with at least 1/``HEAVY`` of all tokens are
 at most that many and are broadcast; all others meet their counts in a join.
 """
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
-from functools import lru_cache, partial
+from dataclasses import dataclass
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ from dwellmart.llm.stored import fold, stored, text_bytes
 
 FOLDS, HELD_OUT = 5, 1
 DEPTH = 5
+#: Grams of so many bytes are few enough to be broadcast.
+SHORT = 3
 GRAMS = 1 << 20
 HEAVY = 200_000
 BEFORE, END = b"\xfe" * DEPTH, b"\xff"
@@ -44,6 +46,7 @@ _BYTES_AT_ONCE = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Documents whose rows are put together at a time.
 _DOCS_AT_ONCE = 500
+_GRAM_BITS = 8 * (DEPTH + 1)
 
 
 # --- counting ---------------------------------------------------------------------------------------
@@ -106,12 +109,20 @@ def _framed_parts(texts: Iterable[bytes]) -> Iterator[tuple[list[int], list[int]
         yield owners, sizes, np.frombuffer(b"".join(held), np.uint8)
 
 
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _inner(framed: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Which windows of a part are symbols of its texts: the first bytes of each are context only."""
+    inner = np.ones(len(framed) - DEPTH, bool)
+    starts = np.cumsum(np.array(sizes) + DEPTH)[:-1]
+    inner[(starts[:, None] - np.arange(1, DEPTH + 1)).ravel()] = False
+    return inner
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch], names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     texts = (text for batch in batches for text in batch.column("text").to_pylist())
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["gram", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=names)
 
     for _, _, part in _framed_parts(texts):
         new, n = np.unique(grams_of(part), return_counts=True)
@@ -128,9 +139,12 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return stored(counted.groupBy("token").agg(F.sum("n").alias("c")), "tokens")
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    counted = texts.mapInArrow(_count_grams, "gram long, n long")
-    return stored(counted.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+def gram_counts(training: DataFrame, held_out: DataFrame) -> DataFrame:
+    """All different grams: how often training texts (``n``) and all texts (``m``) have them."""
+    learned = training.mapInArrow(partial(_count_grams, names=("gram", "n")), "gram long, n long").withColumn("m", F.col("n"))
+    asked = held_out.mapInArrow(partial(_count_grams, names=("gram", "m")), "gram long, m long")
+    both = learned.unionByName(asked.withColumn("n", F.lit(0).cast("long")))
+    return stored(both.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "grams")
 
 
 # --- the model --------------------------------------------------------------------------------------
@@ -140,12 +154,13 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 class Trie:
     """Counts that the model is made of: for each order from 0 on, (grams, counts) of the kept grams.
 
-    ``total``: how many symbols were counted, those of grams that are not kept among them.
+    ``total``: how many symbols were counted, those of grams that are not kept among them. ``whole``: every
+    counted gram of a context that is there at all is kept, so that the context was there as often as they.
     """
 
     orders: tuple[tuple[np.ndarray, np.ndarray], ...] = ()
     total: int = 0
-    name: str = field(default_factory=lambda: uuid.uuid4().hex)
+    whole: bool = False
 
 
 def _low(keys: np.ndarray, count: int) -> np.ndarray:
@@ -221,10 +236,13 @@ class Model:
                 times = np.full(len(contexts), trie.total)
             else:
                 above_keys, above_n, above_contexts, above_times, above_weight = above
-                # A context was there as often as its own gram; before a text, as often as texts ended.
-                framed = contexts == int.from_bytes(BEFORE[:order])
-                at = np.searchsorted(above_keys, np.where(framed, above_keys[:1], contexts))
-                times = np.where(framed, ends, above_n[at])
+                if trie.whole:
+                    times = np.bincount(row, n, len(contexts))
+                else:
+                    # A context was there as often as its own gram; before a text, as often as texts ended.
+                    framed = contexts == int.from_bytes(BEFORE[:order])
+                    at = np.searchsorted(above_keys, np.where(framed, above_keys[:1], contexts))
+                    times = np.where(framed, ends, above_n[at])
                 suffix = np.searchsorted(above_contexts, _low(contexts, order - 1))
                 excluded = np.bincount(row, above_n[np.searchsorted(above_keys, _low(keys, order))], len(contexts))
                 left = above_times[suffix] - excluded
@@ -265,29 +283,75 @@ class Model:
         """Log10 probability of each text and its end."""
         total = np.zeros(len(texts))
         for owners, sizes, framed in _framed_parts(texts):
-            # The first bytes of each part are context only.
-            inner = np.ones(len(framed) - DEPTH, bool)
-            starts = np.cumsum(np.array(sizes) + DEPTH)[:-1]
-            inner[(starts[:, None] - np.arange(1, DEPTH + 1)).ravel()] = False
-            logs = self.logs(_windows(framed)[inner])
+            logs = self.logs(_windows(framed)[_inner(framed, sizes)])
             total += np.bincount(np.repeat(owners, sizes), logs, len(texts))
         return total
 
 
-def trie_of(grams: DataFrame, most_grams: int = GRAMS) -> Trie:
-    """The part of the counted trie that the model keeps: bounded, though the counts are not.
+# --- prices -----------------------------------------------------------------------------------------
+
+
+def _sums(grams: np.ndarray, n: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different last ``count`` bytes of grams and how often each was counted."""
+    keys, at = np.unique(_low(grams, count), return_inverse=True)
+    return keys, np.bincount(at, n, len(keys)).astype(np.int64)
+
 
-    At each order, the grams with at least 1/``most_grams`` of all symbols, so at most that many.
+def _trie(short: tuple[np.ndarray, np.ndarray], grams: np.ndarray, n: np.ndarray) -> Trie:
+    """The trie as far as ``grams`` need it: all counted grams that end in the same three context bytes are there.
+
+    ``short``: all three-byte grams and their counts. ``n`` is 0 where a gram was not counted.
     """
-    total = grams.agg(F.sum("n")).first()[0] or 0
+    keys, counts = short
+    if not len(keys):
+        return Trie()
+    near = np.isin(keys >> 8, _low(grams >> 8, 2))
+    orders = [_sums(keys, counts, 1), _sums(keys, counts, 2), (keys[near], counts[near])]
+    learned = n > 0
+    orders += [_sums(grams[learned], n[learned], count + 1) for count in range(SHORT, DEPTH + 1)]
+    return Trie(tuple(orders), int(counts.sum()), whole=True)
+
+
+def _price(batches: Iterator[pa.RecordBatch], given) -> Iterator[pa.RecordBatch]:
+    """Log10 probabilities of grams, which come sorted by their last three context bytes."""
+    names, held, size = ("gram", "n", "m"), [], 0
+
+    def out(rows: list[np.ndarray]) -> pa.RecordBatch:
+        logs = Model(_trie(given.value, rows[0], rows[1])).logs(rows[0])
+        return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[2]), pa.array(logs)], names=["gram", "m", "log"])
+
+    for batch in batches:
+        held.append([batch.column(name).to_numpy() for name in names])
+        size += batch.num_rows
+        if size < _MOST_COUNTED:
+            continue
+        rows = [np.concatenate(part) for part in zip(*held, strict=True)]
+        near = _low(rows[0] >> 8, SHORT)
+        end = np.searchsorted(near, near[-1])
+        if end:
+            yield out([part[:end] for part in rows])
+        held, size = [[part[end:] for part in rows]], 0
+    if held:
+        yield out([np.concatenate(part) for part in zip(*held, strict=True)])
+
+
+def prices(grams: DataFrame) -> DataFrame:
+    """Counted grams -> (gram, m, log): what each costs by the counts of all of them."""
     # All three-byte grams are at most 2^24 rows.
-    short = stored(grams.groupBy(_low_bytes(3)).agg(F.sum("n").alias("n")), "short")
-    orders = []
-    for order in range(DEPTH + 1):
-        counted = (short if order < 3 else grams).groupBy(_low_bytes(order + 1)).agg(F.sum("n").alias("n"))
-        kept = counted.where(F.col("n") * most_grams >= total).toArrow()
-        orders.append((kept["gram"].to_numpy(), kept["n"].to_numpy()))
-    return Trie(tuple(orders), total) if total else Trie()
+    counted = grams.where("n > 0").groupBy(_low_bytes(SHORT)).agg(F.sum("n").alias("n")).toArrow()
+    given = grams.sparkSession.sparkContext.broadcast((counted["gram"].to_numpy(), counted["n"].to_numpy()))
+    near = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * SHORT) - 1).cast("long"))
+    rows = grams.withColumn("near", near).repartition("near").sortWithinPartitions("near").select("gram", "n", "m")
+    return stored(rows.mapInArrow(partial(_price, given=given), "gram long, m long, log double"), "prices")
+
+
+def least_count(priced: DataFrame, most_grams: int) -> int:
+    """The least ``m`` that no more than ``most_grams`` grams reach."""
+    # Different counts are at most about the root of twice their sum.
+    found = priced.groupBy("m").count().toArrow().sort_by([("m", "descending")])
+    m, kinds = found["m"].to_numpy(), np.cumsum(found["count"].to_numpy())
+    over = np.flatnonzero(kinds > most_grams)
+    return int(m[over[0]]) + 1 if len(over) else 0
 
 
 def _low_bytes(count: int) -> Column:
@@ -297,28 +361,46 @@ def _low_bytes(count: int) -> Column:
 # --- scoring ----------------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=1)
-def _model(held: "_Held") -> Model:
-    return Model(held.trie)
+class Frequent:
+    """Prices of the grams that are broadcast; what is made of them is made once in a worker."""
 
+    def __init__(self, grams: np.ndarray, logs: np.ndarray):
+        self.grams, self.prices = grams, logs
 
-class _Held:
-    """A trie that is equal to another of the same name, so that a worker makes each model once."""
+    @cached_property
+    def table(self) -> tuple[_Table, np.ndarray]:
+        table = _Table(self.grams)
+        return table, table.spread(self.prices)
 
-    def __init__(self, trie: Trie):
-        self.trie = trie
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """The sum of the prices of each text, and (text, gram, how often) of the grams that are not here."""
+        table, prices = self.table
+        total, rare = np.zeros(len(texts)), []
+        for owners, sizes, framed in _framed_parts(texts):
+            grams = _windows(framed)[_inner(framed, sizes)]
+            owner, place = np.repeat(owners, sizes), table.find(grams)
+            here = place >= 0
+            total += np.bincount(owner[here], prices[place[here]], len(texts))
+            # A gram has 48 bits, so there is room for the number of its text.
+            found, n = np.unique((owner[~here] << _GRAM_BITS) | grams[~here], return_counts=True)
+            rare.append((found >> _GRAM_BITS, _low(found, DEPTH + 1), n))
+        return total, rare
+
+
+def _keys(grams: np.ndarray) -> pa.Array:
+    """Grams as tokens that are no words, since they begin with a space."""
+    data = (grams | (0x20 << 56)).astype(">i8")
+    ends = np.arange(0, 8 * len(grams) + 1, 8, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(grams), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
-    def __hash__(self) -> int:
-        return hash(self.trie.name)
 
-    def __eq__(self, other) -> bool:
-        return self.trie.name == other.trie.name
+def _key(gram: Column) -> Column:
+    return F.to_binary(F.concat(F.lit("2000"), F.lpad(F.hex(gram), 12, "0")), F.lit("hex"))
 
 
 def _score(batches: Iterator[pa.RecordBatch], given, under: float) -> Iterator[pa.RecordBatch]:
-    """One row per document, and one per document and word that is not broadcast."""
-    trie, heavy = given.value
-    model = _model(_Held(trie))
+    """One row per document, and one per document and word or gram that is not broadcast."""
+    frequent, heavy = given.value
     known = {token: math.log10((c + 0.5) / under) for token, c in heavy.items()}
     row = TaskContext.get().partitionId() << 40
     doc = pa.struct(
@@ -329,14 +411,16 @@ def _score(batches: Iterator[pa.RecordBatch], given, under: float) -> Iterator[p
     for batch in (b.slice(i, _DOCS_AT_ONCE) for b in batches for i in range(0, b.num_rows, _DOCS_AT_ONCE)):
         rows, tokens, counts, docs = [], [], [], []
         ids, folds, texts = (batch.column(i).to_pylist() for i in range(3))
-        for doc_id, held_out, text, score in zip(ids, folds, texts, model.scores(texts).tolist(), strict=True):
+        scores, rare_grams = frequent.scores(texts)
+        before = row + 1
+        for doc_id, held_out, text, score in zip(ids, folds, texts, scores.tolist(), strict=True):
             row += 1
             words = text.lower().split()
             words.append(END_TOKEN)
             base = [known.get(word) for word in words]
             rare = Counter(word for word, value in zip(words, base, strict=True) if value is None)
             values = [value for value in base if value is not None]
-            # A key with a space is no word: these rows are spread and meet no count.
+            # A key with a space is no word, and no gram's has a digit there: these rows are spread and meet no count.
             rows.append(row)
             tokens.append(b" %d" % row)
             counts.append(0)
@@ -348,6 +432,9 @@ def _score(batches: Iterator[pa.RecordBatch], given, under: float) -> Iterator[p
             docs += [None] * len(rare)
         columns = [pa.array(rows, pa.int64()), pa.array(tokens, pa.binary()), pa.array(counts, pa.int64())]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(docs, doc)], names=["row", "token", "n", "doc"])
+        for owner, grams, n in rare_grams:
+            columns = [pa.array(before + owner), _keys(grams), pa.array(n, pa.int64()), pa.nulls(len(n), doc)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "token", "n", "doc"])
 
 
 _SCORED = (
@@ -359,7 +446,8 @@ _SCORED = (
 def scored(docs: DataFrame, most_grams: int = GRAMS, heavy: int = HEAVY) -> DataFrame:
     """Documents -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row.
 
-    Learns from the rows outside the held-out fold. NULL and empty texts are the end alone. Repeated rows
+    Learns from the rows outside the held-out fold. ``most_grams`` and ``heavy`` bound what is broadcast and do not
+    change the scores. NULL and empty texts are the end alone. Repeated rows
     count and are scored each. Without training rows every byte costs 1/256 and the baseline is 0. An empty
     table gives no rows. Extra columns are not read.
     """
@@ -375,10 +463,18 @@ def scored(docs: DataFrame, most_grams: int = GRAMS, heavy: int = HEAVY) -> Data
     under = n + 0.5 * (v + 1)
     frequent = counts.where(F.col("c") * heavy >= n).toArrow()
     tokens = dict(zip(frequent["token"].to_pylist(), frequent["c"].to_pylist(), strict=True))
-    given = spark.sparkContext.broadcast((trie_of(gram_counts(training), most_grams), tokens))
+    priced = prices(gram_counts(training, rows.where("held_out").select("text")))
+    least = least_count(priced, most_grams)
+    most = priced.where(F.col("m") >= least).toArrow()
+    frequent_grams = Frequent(most["gram"].to_numpy(), most["log"].to_numpy())
+    given = spark.sparkContext.broadcast((frequent_grams, tokens))
     parts = rows.mapInArrow(partial(_score, given=given, under=under), _SCORED)
-    met = parts.join(counts, "token", "left")
-    gain = F.when(F.col("n") > 0, F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / under)).otherwise(0.0)
+    # No document has a gram without a price.
+    grams = priced.where(F.col("m") < least).select(_key(F.col("gram")).alias("token"), "log")
+    met = parts.join(counts.unionByName(grams, allowMissingColumns=True), "token", "left")
+    word = (F.col("n") > 0) & F.col("log").isNull()
+    gain = F.when(word, F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / under)).otherwise(0.0)
+    gram_gain = F.coalesce(F.col("n") * F.col("log"), F.lit(0.0))
     known = F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)
     one = F.col("doc")
     return (
@@ -390,7 +486,7 @@ def scored(docs: DataFrame, most_grams: int = GRAMS, heavy: int = HEAVY) -> Data
             (F.sum(F.coalesce(one["n_known"], F.lit(0)) + known)).alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
             F.sum(F.coalesce(one["base"], F.lit(0.0)) + gain).alias("base_score"),
-            F.sum(one["score"]).alias("score"),
+            F.sum(F.coalesce(one["score"], F.lit(0.0)) + gram_gain).alias("score"),
         )
         .drop("row")
     )

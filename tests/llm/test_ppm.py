@@ -1,8 +1,10 @@
 import math
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,6 +126,37 @@ def test_odd_rows(odd, nothing, heavy):
     assert ppm.scored(nothing).count() == 0
 
 
+@pytest.mark.parametrize("most_grams", [ppm.GRAMS, 40, 0])
+def test_scores_use_the_whole_trie_whatever_is_broadcast(on_workers, most_grams):
+    """Grams that are not broadcast count as well, and texts of both folds get the price of the whole trie."""
+    texts = ["the cat sat on the mat", "a cat and a dog sat", "été au lit", "aaaaaaaaab", "thé cat zat", "", "the dog ran"]
+    docs = [(i, f"{texts[i % 7]} {texts[i % 5]} {i % 11}") for i in range(60)]
+    training = [t.encode() for i, t in docs if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert 0 < len(training) < len(docs)
+    rows = ppm.scored(documents(on_workers, docs), most_grams=most_grams, heavy=3).collect()
+    check(docs, rows)
+    by_id = {r.doc_id: r.score for r in rows}
+    for i, t in docs:
+        assert by_id[i] == pytest.approx(plain_score(training, t.encode()), rel=1e-5)
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 1 << 19])
+def test_prices_are_those_of_the_whole_model(monkeypatch, at_once):
+    """Grams come sorted by their last three context bytes, in batches that cut through them."""
+    monkeypatch.setattr(ppm, "_MOST_COUNTED", at_once)
+    counted, short = trie(TRAINING), dict(zip(*map(np.ndarray.tolist, trie(TRAINING).orders[2]), strict=True))
+    counts = dict(zip(*map(np.ndarray.tolist, counted.orders[5]), strict=True))
+    asked = np.concatenate([ppm.grams_of(np.frombuffer(ppm.BEFORE + t + ppm.END, np.uint8)) for t in (b"the dog", b"zz \x00")])
+    grams = np.array(sorted({*counts, *asked.tolist()}, key=lambda g: (g >> 8) & 0xFFFFFF), np.int64)
+    n = np.array([counts.get(g, 0) for g in grams.tolist()], np.int64)
+    rows = pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n), pa.array(n + 1)], names=["gram", "n", "m"])
+    batches = (rows.slice(i, 7) for i in range(0, len(grams), 7))
+    given = SimpleNamespace(value=(np.array(list(short), np.int64), np.array(list(short.values()), np.int64)))
+    out = pa.Table.from_batches(list(ppm._price(batches, given)))
+    assert out["gram"].to_pylist() == grams.tolist() and out["m"].to_pylist() == (n + 1).tolist()
+    assert out["log"].to_numpy() == pytest.approx(MODEL.logs(grams), rel=1e-5)
+
+
 def test_only_held_out_rows(on_workers):
     # crc32 of "4" modulo 5 is 1: nothing is left to learn from.
     ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
