@@ -36,8 +36,8 @@ _SLOT_RUN = 4096
 class Mix:
     """``plan``: one row per source; ``spans``: one row per document; ``pieces``: what the mix takes.
 
-    pieces: shard, slot, source_number, pass, block, row, first_word, n_words. Rows carry ``row``, the
-    number of the document's row in the sized table.
+    pieces: shard, slot, source_number, pass, block, row, first_word, n_words, start. Rows carry ``row``, the
+    number of the document's row in the sized table; ``start`` is the document's place in its source.
     """
 
     plan: DataFrame
@@ -154,7 +154,7 @@ def mix(
     joined = parts.join(_slots(plan, block_words, shard_slots, seed), ["source_number", "block"])
     pieces = joined.where(end > begin).select(
         "shard", "slot", "source_number", "pass", "block", "row",
-        (begin - F.col("start")).alias("first_word"), (end - begin).alias("n_words"),
+        (begin - F.col("start")).alias("first_word"), (end - begin).alias("n_words"), "start",
     )
     return Mix(plan, spans, pieces)
 
@@ -186,8 +186,10 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus, as rows with the columns of ``docs``.
+    """The mixed corpus, as rows with the columns of ``docs``, in the order of the mix.
 
+    A partition holds whole shards, one after another, each in the order of its slots. A row stands where its
+    first piece of the pass was dealt to: the smallest of the places of all its pieces would crowd the first shards.
     A document comes once for each pass that takes words of it. Where a pass takes all its words, the row
     is the document as it is. Where a block boundary cuts it, ``text`` is the words taken, parted by single
     spaces, and ``n_chars``, if there is such a column, its length. Texts without words are not in a mix.
@@ -202,7 +204,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     made = mix(whole.select("row", F.col("doc.doc_id"), F.col("doc.source"), "size"), **options)
     piece = F.struct("first_word", "n_words")
     passes = made.pieces.groupBy("row", "pass").agg(
-        F.array_sort(F.collect_list(piece)).alias("parts"), F.sum("n_words").alias("n")
+        F.array_sort(F.collect_list(piece)).alias("parts"), F.sum("n_words").alias("n"),
+        F.min_by(F.struct("shard", "slot", "source_number", "start"), "first_word").alias("place"),
     )
     rows = whole.join(passes, "row")
     words = F.regexp_extract_all("doc.text", F.lit(NOT_WHITE), F.lit(0))
@@ -214,7 +217,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     )
     some = some.withColumn("cut", F.array_join(cut, " "))
     changed = {"text": F.col("cut"), "n_chars": F.char_length("cut")}
-    return some.select(
+    mixed = F.struct(
         *(
             F.when(F.col("n") < F.col("size"), changed[name].cast(docs.schema[name].dataType))
             .otherwise(F.col(f"doc.`{name}`"))
@@ -224,3 +227,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
             for name in docs.columns
         )
     )
+    dealt = some.select(mixed.alias("doc"), "place").repartition("place.shard").sortWithinPartitions("place")
+    return dealt.select("doc.*")

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from dwellmart.llm import mixing
 from tests.llm.conftest import ODD, documents
@@ -98,3 +99,22 @@ def test_main_path_is_native(corpus):
     for frame in (mixing.taken_words(docs), mixing.mixed_documents(docs)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_mixed_rows_stand_where_their_slots_were_dealt(on_workers):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(5 + i % 30)), "s") for i in range(300)]
+    docs = documents(on_workers, rows).repartition(4)
+    options = {"block_words": 16, "shard_slots": 20}
+    # A source alone is taken whole, once.
+    made = mixing.mix(mixing._sized(docs), **options)
+    place = {}
+    for p in sorted(made.pieces.join(made.spans.select("row", "doc_id"), "row").collect(), key=lambda p: p.first_word):
+        place.setdefault(p.doc_id, (p.shard, p.slot, p.start))
+    got = mixing.mixed_documents(docs, **options).select("doc_id", F.spark_partition_id().alias("part")).collect()
+    parts = defaultdict(list)
+    for r in got:
+        parts[r.part].append(place[r.doc_id])
+    assert sorted(r.doc_id for r in got) == list(range(300))
+    assert all(p == sorted(p) for p in parts.values())
+    shards = [{shard for shard, _, _ in p} for p in parts.values()]
+    assert sum(map(len, shards)) == len(set().union(*shards)) > 10
