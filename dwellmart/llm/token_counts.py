@@ -1,10 +1,12 @@
 """Token counts under a unigram segmentation, with the work of shared prefixes done once.
 
 A word is segmented into the pieces of a public vocabulary so that the sum of their scores is highest.
-The forward score of a prefix does not depend on what follows, so a task inserts its distinct words into a
-trie: they are taken in sorted order, and each word starts from the forward scores of the prefix that it
-shares with the word before it, which is exactly the path of a trie that is walked depth first. The token
-count at the end of each word is kept, and documents are sums over their words.
+The scores are not those of a trained unigram model: they are made from the ranks of a BPE vocabulary.
+The forward score of a prefix does not depend on what follows, so the new words of an Arrow batch are taken
+in sorted order, and each starts from the forward scores of the prefix that it shares with the word before
+it: the path of a trie of these words that is walked depth first. Only that path is kept, so a prefix is
+scored once in a batch, and again in a later batch that has new words with it. The token count at the end
+of each word is kept, and documents are sums over their words.
 
 Words that a task has already counted are kept up to a bound; beyond it they are forgotten and counted
 again when they come back. Texts stay where they are: nothing is shuffled.
