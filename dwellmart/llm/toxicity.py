@@ -6,7 +6,7 @@ and its L1 term keeps features at exactly zero until they have earned a weight,
 list of (feature, weight).
 
 Training takes a bounded sample of labelled texts (``MOST_TEXTS``), chosen by a hash of their id, whose
-features are made in parallel; the updates themselves run one after another in one task, as the method
+features are made in parallel, one text for each id however many rows it has; the updates themselves run one after another in one task, as the method
 wants. The weights, at most ``2^BITS`` and usually some hundreds, are broadcast with the scoring function.
 Scoring takes whole texts, without a shuffle.
 """
@@ -143,12 +143,18 @@ def training_rows(labels: DataFrame, folds: int = 3, held_out: int = 1, most: in
 
 
 def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, passes: int = PASSES, most: int = MOST_TEXTS) -> Model:
-    """Learn from the texts of ``docs`` whose ids have labels in the training folds."""
+    """Learn from the texts of ``docs`` whose ids have labels in the training folds.
+
+    An id is one example: of several different texts of one id, that with the least hash is learnt from.
+    """
     chosen = training_rows(labels, most=most)
     # The labels side has at most about `most` rows of 16 bytes.
     texts = docs.select("doc_id", text_bytes(F.col("text")).alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("label_id")
     )
+    # Combined before the shuffle, so the copies of one id are one row of each task.
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    texts = texts.groupBy("label_id", "toxic", "place").agg(first)
     examples = texts.select("text", "toxic", "place").mapInArrow(partial(_examples, bits=bits), _EXAMPLES)
     rows = examples.repartition(1).sortWithinPartitions("place", "toxic").mapInArrow(
         partial(_train, bits=bits, passes=passes), _WEIGHTS

@@ -65,6 +65,15 @@ def test_labels_are_sampled_to_a_bound(on_workers):
     assert 700 < toxicity.training_rows(labels, most=1000).count() < 1300
 
 
+def test_copies_of_an_id_are_one_example(corpus, on_workers):
+    docs, labels, rows, _ = corpus
+    one = next(i for i, _ in rows if i % 8 == 0 and not held(i))
+    copied = docs.unionByName(documents(on_workers, [rows[one]] * 300))
+    models = [toxicity.fit(d, labels) for d in (docs, copied)]
+    assert len(models[0].index) and np.array_equal(models[0].index, models[1].index)
+    assert models[0].bias == models[1].bias and np.array_equal(models[0].weight, models[1].weight)
+
+
 def test_features(monkeypatch):
     one = toxicity.features(b"You IDIOT, you.")
     assert np.array_equal(one, toxicity.features(b"you idiot you")) and len(one) == 5
