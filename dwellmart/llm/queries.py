@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from dwellmart.llm import (
+    digest_index,
     embedding_forest,
     license_scan,
     mixing,
@@ -177,3 +178,20 @@ def op2_token_counts_trie(spark, sf):
 @registered
 def op1_embedding_forest(spark, sf):
     return embedding_forest.near_duplicates(read(spark, sf, "embeddings"))
+
+
+@registered
+def op13_digest_index(spark, sf):
+    return digest_index.deduplicated(read(spark, sf, "documents"))
+
+
+ORACLES["op13_digest_index"] = """
+WITH rows AS (
+    SELECT doc_id, length(coalesce(text, '')) AS length,
+        sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+    row_number() OVER best = 1 AS kept, text_sha256
+FROM rows WINDOW best AS (PARTITION BY text_sha256 ORDER BY length DESC, doc_id)
+"""
