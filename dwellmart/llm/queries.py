@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from dwellmart.llm import (
+    conversation_repair,
     digest_index,
     embedding_forest,
     license_scan,
@@ -180,6 +181,12 @@ def op1_embedding_forest(spark, sf):
     return embedding_forest.near_duplicates(read(spark, sf, "embeddings"))
 
 
+@registered
+def op12_conversation_repair(spark, sf):
+    conversations = read(spark, sf, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(conversations), conversations)
+
+
 @registered
 def op13_digest_index(spark, sf):
     return digest_index.deduplicated(read(spark, sf, "documents"))
