@@ -17,6 +17,7 @@ from dwellmart.llm import (
     ppm,
     quality,
     simhash,
+    spelling_variants,
     token_counts,
     toxicity,
     url_filter,
@@ -181,6 +182,12 @@ def op1_embedding_forest(spark, sf):
     return embedding_forest.near_duplicates(read(spark, sf, "embeddings"))
 
 
+@registered
+def op11_spelling_trie(spark, sf):
+    words = spelling_variants.counted_words(read(spark, sf, "documents"), every=199)
+    return spelling_variants.variants(words)
+
+
 @registered
 def op12_conversation_repair(spark, sf):
     conversations = read(spark, sf, "conversations")
