@@ -25,6 +25,8 @@ from dwellmart.llm.stored import fold, stored, text_bytes
 
 BITS = 20
 MOST_TEXTS = 12_000
+#: Different hash values of ids that the sample of labels is taken from.
+HASHES = 1 << 62
 PASSES = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 20.0, 0.01
 #: A toxic example counts so many times, since about one in ten is toxic.
@@ -125,6 +127,11 @@ def _train(batches: Iterator[pa.RecordBatch], bits: int, passes: int) -> Iterato
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(weights[at])], names=["feature", "weight"])
 
 
+def hashes_taken(labels: int, most: int) -> int:
+    """How many of ``HASHES`` hash values to take of so many labels to get about ``most`` of them."""
+    return HASHES if labels <= most else HASHES * most // labels
+
+
 def training_rows(labels: DataFrame, folds: int = 3, held_out: int = 1, most: int = MOST_TEXTS) -> DataFrame:
     """(label_id, toxic, place): at most about ``most`` labelled ids outside the held-out fold.
 
@@ -135,9 +142,8 @@ def training_rows(labels: DataFrame, folds: int = 3, held_out: int = 1, most: in
         F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id"), folds) != held_out)
     )
     known = stored(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "labels")
-    rate = min(1.0, most / max(1, known.count()))
     place = F.xxhash64(F.col("doc_id").cast("string"))
-    return known.where(F.pmod(place, F.lit(1_000_000)) < int(rate * 1_000_000)).select(
+    return known.where(F.pmod(place, F.lit(HASHES)) < hashes_taken(known.count(), most)).select(
         F.col("doc_id").alias("label_id"), "toxic", place.alias("place")
     )
 

@@ -65,6 +65,12 @@ def test_labels_are_sampled_to_a_bound(on_workers):
     assert 700 < toxicity.training_rows(labels, most=1000).count() < 1300
 
 
+@pytest.mark.parametrize("labels", [10, 12_000, 12_001, 10**6, 8 * 10**9, 10**11, 10**15])
+def test_the_share_of_labels_holds_at_any_size(labels):
+    share = toxicity.hashes_taken(labels, 12_000) / toxicity.HASHES
+    assert share * labels == pytest.approx(min(labels, 12_000), rel=1e-6)
+
+
 def test_copies_of_an_id_are_one_example(corpus, on_workers):
     docs, labels, rows, _ = corpus
     one = next(i for i, _ in rows if i % 8 == 0 and not held(i))
