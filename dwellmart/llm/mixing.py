@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellmart.llm.stored import NOT_WHITE, free_name, stored
+from dwellmart.llm.stored import NOT_WHITE, free_name, stored, with_row_key
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -194,20 +194,16 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     is the document as it is. Where a block boundary cuts it, ``text`` is the words taken, parted by single
     spaces, and ``n_chars``, if there is such a column, its length. Texts without words are not in a mix.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    whole = stored(
-        docs.select(
-            F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"), word_count(text).alias("size")
-        ),
-        "documents",
-    )
-    made = mix(whole.select("row", F.col("doc.doc_id"), F.col("doc.source"), "size"), **options)
+    whole = with_row_key(docs, "documents")
+    sized = whole.select("row", "doc.doc_id", "doc.source", word_count(F.col("doc.text")).alias("size"))
+    made = mix(stored(sized, "sized"), **options)
+    sizes = made.spans.select("row", "size")
     piece = F.struct("first_word", "n_words")
     passes = made.pieces.groupBy("row", "pass").agg(
         F.array_sort(F.collect_list(piece)).alias("parts"), F.sum("n_words").alias("n"),
         F.min_by(F.struct("shard", "slot", "source_number", "start"), "first_word").alias("place"),
     )
-    rows = whole.join(passes, "row")
+    rows = whole.join(passes.join(sizes, "row"), "row")
     words = F.regexp_extract_all("doc.text", F.lit(NOT_WHITE), F.lit(0))
     some = rows.withColumn("words", F.when(F.col("n") < F.col("size"), words))
     cut = F.flatten(

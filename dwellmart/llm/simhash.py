@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.llm.components import component_of
-from dwellmart.llm.stored import runs, smallest_linked, stored, table, text_bytes
+from dwellmart.llm.stored import runs, smallest_linked, stored, table, text_bytes, with_row_key
 
 LANES, LANE_BITS = 4, 16
 VALUES = 1 << LANE_BITS
@@ -282,19 +282,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4)
 def one_of_each_group(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` without near duplicates: the smallest doc_id of each group stays.
 
-    NULL ids come last. Of several rows with the same id in a group, repeated rows among them, the one
-    stored first stays. The columns are those of ``docs``; other cases are those of ``near_duplicates``.
+    NULL ids come last. Of several rows with the same id in a group, repeated rows among them, the one with
+    the first row key stays. The columns are those of ``docs``; other cases are those of ``near_duplicates``.
     """
-    # Numbered once, in the stored table, so the numbers hold for every later read of it.
-    whole = stored(
-        docs.select(
-            F.struct("*").alias("doc"),
-            fingerprint(F.col("text"), shingle_words).alias("print"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "documents",
-    )
+    whole = with_row_key(docs, "documents")
     order = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.col("row"))
-    groups = _groups(whole.select("print", order.alias("id")), max_bits)
+    prints = whole.select(fingerprint(F.col("doc.text"), shingle_words).alias("print"), order.alias("id"))
+    groups = _groups(stored(prints, "prints"), max_bits)
     kept = groups.select(F.col("first.row").alias("row")).distinct()
     return whole.join(kept, "row", "left_semi").select("doc.*")

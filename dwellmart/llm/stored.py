@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,26 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def with_row_key(docs: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a struct ``doc``, with a ``row`` key that is the same whenever the frame is read.
+
+    Rows of files are known by their file and their place in it, so a frame that reads files, and does nothing
+    else, is not stored. Any other frame is stored once and its rows are numbered.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
+        try:
+            file = F.md5(F.col("_metadata.file_path").cast("binary"))
+            return docs.select(
+                F.struct(*docs.columns).alias("doc"),
+                F.struct(file.alias("file"), F.col("_metadata.row_index").alias("place")).alias("row"),
+            )
+        except AnalysisException:
+            # A format without places, or a column that hides them.
+            pass
+    place = F.struct(F.lit("").alias("file"), F.monotonically_increasing_id().alias("place"))
+    return stored(docs.select(F.struct("*").alias("doc"), place.alias("row")), purpose)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``. A NULL id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(folds)).cast("int")

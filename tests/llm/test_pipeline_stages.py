@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dwellmart.llm import mixing, packing, quality, simhash, toxicity
+from dwellmart.llm.stored import with_row_key
 from tests.llm.conftest import documents
 
 
@@ -56,6 +57,18 @@ def test_run_gives_the_last_stage(stages, spark, sf_dir):
     assert got.agg(F.sum("length")).first() == want.agg(F.sum("length")).first()
 
 
+def test_rows_of_files_are_known_by_their_place(on_workers, folder):
+    many = documents(on_workers, [(i % 7, "same text") for i in range(500)]).repartition(6)
+    many.write.parquet(folder)
+    frames = {"files": on_workers.read.parquet(folder), "made": many, "changed": on_workers.read.parquet(folder).where("doc_id < 99")}
+    for name, frame in frames.items():
+        keyed = with_row_key(frame, "rows")
+        assert ("_metadata" in keyed._jdf.queryExecution().analyzed().toString()) == (name == "files")
+        rows = [[(r.row, r.doc) for r in keyed.collect()] for _ in range(2)]
+        assert len({row for row, _ in rows[0]}) == 500
+        assert sorted(rows[0]) == sorted(rows[1])
+
+
 def test_stages_over_no_rows(on_workers, sf_dir):
     docs = documents(on_workers, [])
     for _, stage in corpus_pipeline.STAGES:
