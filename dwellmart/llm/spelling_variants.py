@@ -380,7 +380,9 @@ def near_words(
     with_path = stored(words.mapInArrow(partial(_paths, groups=groups), "word string, n long, path array<int>"), "words")
     rows = _routed(with_path, groups, shard_words, shard_queries)
     keys = ["node", "part", "half"]
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, F.col("member").desc())
+    # So many tasks as the session says: the rows are few bytes but much work.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(tasks, *keys).sortWithinPartitions(*keys, F.col("member").desc())
     return dealt.mapInArrow(partial(_search, groups=groups), "word string, near string, near_n long")
 
 
