@@ -24,3 +24,10 @@ def unseen_rows(fresh: DataFrame, target: DataFrame, key: Sequence[str], null_sa
     held = target.select(*key)
     seen = held.join(wanted, _same_key(held, wanted, key, null_safe), "left_semi").alias("seen")
     return fresh.join(seen, _same_key(fresh, seen, key, null_safe), "left_anti")
+
+
+def rows_of_keys(rows: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows whose key, NULL parts included, is one of ``keys``."""
+    keys = keys.select(*(F.col(name).alias(f"of_{name}") for name in key))
+    same = reduce(Column.__and__, (F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in key))
+    return rows.join(keys, same, "left_semi")

@@ -1,30 +1,34 @@
 """Silver: typed and tidied sales, each natural key inserted once.
 
-The table is bucketed by the natural key. The upsert looks every batch up in the whole table, and the
-bucketing means that look-up moves only the batch: the table side of the join is read in place.
-
-Files lie under ``query_id=.../batch_id=...``. A batch that is delivered again replaces its own
-partition, so a crash between writing and committing leaves no second copy, NULL keys included. The query
-id keeps a new checkpoint, whose batches count from 0 again, from replacing older batches. One writer at
-a time is assumed.
+The table is bucketed by the natural key. The upsert looks the keys of every batch up in the whole table, and
+the bucketing means that the look-up moves only these keys: the table side of the join is read in place.
+
+Files lie under ``query_id=.../batch_id=.../sale_year=...``. A batch that is delivered again replaces its own
+partitions, so a crash between writing and committing leaves no second copy, NULL keys included. The query
+id keeps a new checkpoint, whose batches count from 0 again, from replacing older batches. The year of the
+sale lets the look-up pass by all partitions of years of which the batch has no sale. One writer at a time is
+assumed.
 """
 
 import hashlib
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dwellmart.functions import cleaning
 from dwellmart.operators.first_copy import first_copy
-from dwellmart.operators.insert_only import unseen_rows
+from dwellmart.operators.insert_only import rows_of_keys, unseen_rows
 from dwellmart.schemas import ARRIVAL_ORDER, SALE_KEY, SILVER_SCHEMA
 from dwellmart.session import discard, session_conf, shared_folder
 from dwellmart.streaming.triggers import PERIOD, trigger_for
 
 BATCH_COLUMNS = ["query_id", "batch_id"]
+YEAR = "sale_year"
+#: So many new keys of a batch are few: they are sent to all tasks, and only their rows are moved.
+FEW_KEYS = 100_000
 _LAYOUT = "buckets int"
 
 
@@ -98,21 +102,22 @@ class SilverTable:
     def _create(self, spark: SparkSession) -> None:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SILVER_SCHEMA)
         spark.sql(
-            f"CREATE TABLE {self.name} ({fields}, query_id string, batch_id bigint) USING parquet "
-            f"PARTITIONED BY ({', '.join(BATCH_COLUMNS)}) "
+            f"CREATE TABLE {self.name} ({fields}, query_id string, batch_id bigint, {YEAR} int) USING parquet "
+            f"PARTITIONED BY ({', '.join(BATCH_COLUMNS)}, {YEAR}) "
             f"CLUSTERED BY ({', '.join(SALE_KEY)}) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.data}'"
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The sales, without the two columns of the file layout."""
-        return spark.read.schema(SILVER_SCHEMA).parquet(self.data)
+        """The sales, without the columns of the file layout."""
+        return spark.read.schema(SILVER_SCHEMA).parquet(self.data).select(*SILVER_SCHEMA.names)
 
     def upsert(self, batch: DataFrame, query_id: str, batch_id: int) -> None:
         """Insert the rows of a batch whose natural key no other batch has brought.
 
-        The batch's first copies are stored once, in the shared folder, and looked up in the part of the
-        table that has dates of the batch.
+        Only keys are looked up: the different keys of the batch are stored in the shared folder, and of them
+        those that the table lacks. The whole rows are read again for these alone. Where they are few, as
+        when a register is sent again, no other row is moved or sorted.
         """
         spark = batch.sparkSession
         self._settle(spark)
@@ -124,29 +129,40 @@ class SilverTable:
         }
         with session_conf(spark, settings):
             self.attach(spark)
-            fresh = first_copy(batch, SALE_KEY, ARRIVAL_ORDER)
             own = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
             others = spark.table(self.name).where(~own)
             if others.isEmpty():
-                self._replace_batch(fresh, query_id, batch_id)
+                self._replace_batch(first_copy(batch, SALE_KEY, ARRIVAL_ORDER), query_id, batch_id)
                 return
-            workspace = shared_folder(spark, "fresh")
-            fresh.write.parquet(workspace)
-            stored = spark.read.schema(fresh.schema).parquet(workspace)
-            self._replace_batch(self.unseen(stored, others), query_id, batch_id)
+            workspace = shared_folder(spark, "keys")
+            keys = batch.select(*SALE_KEY).distinct()
+            keys.write.parquet(f"{workspace}/all")
+            keys = spark.read.schema(keys.schema).parquet(f"{workspace}/all")
+            counted = Observation("unseen")
+            unseen = self.unseen(keys, others).observe(counted, F.count(F.lit(1)).alias("keys"))
+            unseen.write.parquet(f"{workspace}/unseen")
+            unseen = spark.read.schema(keys.schema).parquet(f"{workspace}/unseen")
+            if counted.get["keys"] <= FEW_KEYS:
+                fresh = first_copy(rows_of_keys(batch, F.broadcast(unseen), SALE_KEY), SALE_KEY, ARRIVAL_ORDER)
+            else:
+                fresh = rows_of_keys(first_copy(batch, SALE_KEY, ARRIVAL_ORDER), unseen, SALE_KEY)
+            self._replace_batch(fresh, query_id, batch_id)
             discard(spark, workspace)
 
     def unseen(self, fresh: DataFrame, others: DataFrame) -> DataFrame:
-        """Rows of a stored batch that the table lacks.
+        """Rows of a stored batch, with distinct keys, that the table lacks.
 
-        A NULL date matches nothing, so only the dates between the batch's first and last matter, and
-        that filter reaches the scan of the table.
+        A NULL date matches nothing, so only partitions of the batch's own years are read, and of them only
+        row groups with dates between its first and last.
         """
-        first, last = fresh.agg(F.min("date_of_sale"), F.max("date_of_sale")).first()
-        same_dates = F.col("date_of_sale").between(F.lit(first), F.lit(last)) if first else F.lit(False)
+        date = F.col("date_of_sale")
+        # A calendar year each: a few dozen of them, never more than 10,000.
+        looks = fresh.agg(F.min(date), F.max(date), F.collect_set(F.year(date))).first()
+        first, last, years = looks
+        same = F.col(YEAR).isin(years) & date.between(F.lit(first), F.lit(last)) if years else F.lit(False)
         if self.null_safe:
-            same_dates = same_dates | F.col("date_of_sale").isNull()
-        return unseen_rows(fresh, others.where(same_dates), SALE_KEY, self.null_safe)
+            same = same | F.col(YEAR).isNull()
+        return unseen_rows(fresh, others.where(same), SALE_KEY, self.null_safe)
 
     def rewrite(self, spark: SparkSession, target: "SilverTable") -> None:
         """Copy the table to a new one: fewer and larger files, or another number of buckets.
@@ -172,7 +188,7 @@ class SilverTable:
                     "batch_id": F.when(open_batch, F.col("batch_id")).otherwise(0),
                 }
             )
-            dealt = marked.select(*SILVER_SCHEMA.names, *BATCH_COLUMNS).repartition(target.buckets, *SALE_KEY)
+            dealt = marked.select(*SILVER_SCHEMA.names, *BATCH_COLUMNS, YEAR).repartition(target.buckets, *SALE_KEY)
             dealt.write.insertInto(target.name, overwrite=True)
 
     def _replace_batch(self, rows: DataFrame, query_id: str, batch_id: int) -> None:
@@ -181,6 +197,7 @@ class SilverTable:
                 *SILVER_SCHEMA.names,
                 F.lit(query_id).alias("query_id"),
                 F.lit(batch_id).cast("bigint").alias("batch_id"),
+                F.year("date_of_sale").alias(YEAR),
             ).write.insertInto(self.name, overwrite=True)
         )
 

@@ -211,6 +211,42 @@ def test_look_up_reads_only_the_dates_of_the_batch_in_place(spark, folder, limit
     assert "Bucketed: true" in plan or "Bucketed: false (disabled by query planner)" in scan
 
 
+def test_look_up_passes_by_other_years(spark, folder):
+    silver = table(spark, folder)
+    days = [date(year, 3, 1 + n) for year in (2010, 2015, 2019, 2020) for n in range(5)]
+    silver.upsert(sales(spark, *(sale(f"{day}", day=day) for day in days), sale("N", day=None)), "q", 0)
+    batch = sales(spark, sale("2010-03-02", day=date(2010, 3, 2)), sale("2020-03-05", day=date(2020, 3, 5)), sale("N", day=None))
+    batch.write.parquet(f"{folder}/fresh")
+    fresh = spark.read.schema(SILVER_SCHEMA).parquet(f"{folder}/fresh")
+    for null_safe, new in ((False, ["N"]), (True, [])):
+        silver.null_safe = null_safe
+        found = silver.unseen(fresh, spark.table(silver.name))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        filters = next(part for part in plan.split("PartitionFilters: ") if "sale_year#" in part.split("]")[0])
+        filters = filters.split("PushedFilters")[0]
+        assert "2010" in filters and "2020" in filters and "2015" not in filters
+        # Files of the other two years are not even opened.
+        years = {name.split("sale_year=")[1].split("/")[0] for name in spark.table(silver.name).where(
+            F.col("sale_year").isin(2010, 2020)).inputFiles()}
+        assert years == {"2010", "2020"}
+        assert [r.address for r in found.collect()] == new
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_rows_do_not_depend_on_how_many_keys_are_new(spark, folder, monkeypatch, few):
+    monkeypatch.setattr("dwellmart.streaming.silver.FEW_KEYS", few)
+    silver = table(spark, folder)
+    silver.upsert(sales(spark, sale("A", eircode="old"), sale("N", price=None, eircode="null 0")), "q", 0)
+    batch = sales(
+        spark, sale("A", eircode="new", offset=1), sale("B", eircode="later", offset=9), sale("B", eircode="first", offset=3),
+        sale("N", price=None, eircode="null 1", offset=8), sale("N", price=None, eircode="null 2", offset=7),
+        sale("A", day=date(1999, 1, 1), eircode="other year"),
+    )
+    for _ in range(2):
+        silver.upsert(batch, "q", 1)
+        assert kept(spark, silver) == [("A", "old"), ("A", "other year"), ("B", "first"), ("N", "null 0"), ("N", "null 2")]
+
+
 def test_rewrite_keeps_the_rows_and_the_batches_that_may_come_again(spark, folder):
     silver = table(spark, folder)
     for n in range(3):
