@@ -18,8 +18,7 @@ puts those right inside the scan's own projection, for cells and for the header.
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dwellmart.schemas import HEADERS
@@ -37,7 +36,10 @@ _CP1252_CHARS = "".join(_CP1252_OF_LATIN1.values())
 _TO_CP1252 = str.maketrans(_CP1252_OF_LATIN1)
 _TO_LATIN1 = str.maketrans({cp: latin1 for latin1, cp in _CP1252_OF_LATIN1.items()})
 
+#: Parsers that read any file.
 PARSERS = ("auto", "records")
+#: One that reads plain files only, once, and fails on all others.
+PLAIN = "plain"
 
 # Inside of a quoted cell; a cell that is closed; any cell, which at the end of a file may be open.
 _INNER = r'[^"]*+(?:""[^"]*+)*+'
@@ -67,19 +69,21 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Names in the first header line there is, as ISO-8859-1. Reads that line only."""
+    return _csv_reader(spark).csv(path).columns
+
+
 def _plain_files(spark: SparkSession, path: str) -> dict[str, bool]:
-    """For each file with any line, whether it is plain."""
-    body = F.regexp_replace("value", r"\r\z", "")
-    unquoted = F.regexp_replace(body, rf'"{_INNER}"', "")
-    commas = F.char_length(unquoted) - F.char_length(F.replace(unquoted, F.lit(","), F.lit("")))
-    blank = body == ""
-    odd = ~blank & (~body.rlike(rf"\A{_PLAIN_CELL}(?:,{_PLAIN_CELL})*+\z") | ~body.rlike(r"[^\s]"))
-    looks = _lines(spark, path).groupBy("file").agg(
-        F.bool_or(odd).alias("odd"),
-        F.min(F.when(~blank, commas)).alias("fewest"),
-        F.max(F.when(~blank, commas)).alias("most"),
-    )
-    return {r.file: not r.odd and r.fewest == r.most for r in looks.collect()}
+    """For each file, whether it is plain: no line but empty ones and whole records of as many cells as the header.
+
+    One match per line, which needs no character set: what it looks for is ASCII.
+    """
+    more = max(len(_header(spark, path)) - 1, 0)
+    whole = rf"\A(?:(?=.*[^\x00-\x20]){_PLAIN_CELL}(?:,{_PLAIN_CELL}){{{more}}})?\r?\z"
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    looks = lines.groupBy("file").agg(F.bool_and(F.col("value").rlike(whole)).alias("plain"))
+    return {r.file: r.plain for r in looks.collect()}
 
 
 def every_record_on_one_line(spark: SparkSession, path: str) -> bool:
@@ -163,14 +167,18 @@ def _scan_records(spark: SparkSession, files: list[str]) -> tuple[DataFrame, lis
     return rows.select(*_by_header(headers[0] if headers else [], lambda i: F.get("cells", i))), headers
 
 
-def _scan_splits(spark: SparkSession, files: list[str]) -> tuple[DataFrame, list[str]]:
-    reader = (
+def _csv_reader(spark: SparkSession) -> DataFrameReader:
+    return (
         spark.read.option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
     )
+
+
+def _scan_splits(spark: SparkSession, files: list[str]) -> tuple[DataFrame, list[str]]:
+    reader = _csv_reader(spark)
     # Without inference this reads the header line only. Declaring its columns and switching enforcement
     # off makes any other file fail when its header differs, instead of mixing columns up.
     found = reader.csv(files)
@@ -179,16 +187,44 @@ def _scan_splits(spark: SparkSession, files: list[str]) -> tuple[DataFrame, list
     return cells.select(*columns), cells.columns
 
 
+def _scan_plain(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of plain files in one pass, which judges every line that it takes apart."""
+    names = _header(spark, path)
+    text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    lines = spark.read.option("lineSep", "\n").text(path)
+    first = lines.where(F.col("_metadata.file_block_start") == 0).select(text.alias("line")).first()
+    header = first.line.removesuffix("\r") if first else ""
+    bodies = lines.select(F.regexp_replace(text, r"\r\z", "").alias("body"), F.col("_metadata.file_path").alias("file"))
+    bodies = bodies.where((F.col("body") != "") & (F.col("body") != header))
+    cells = F.regexp_extract_all(F.concat(F.lit(","), "body"), F.lit(f",({_PLAIN_CELL})"), F.lit(1))
+    taken = bodies.withColumn("cells", cells)
+    # The cells are the whole line if nothing between them was passed over.
+    plain = (F.array_join("cells", ",") == F.col("body")) & (F.size("cells") == len(names))
+    plain = plain & F.col("body").rlike(r"[^\x00-\x20]")
+    fails = F.raise_error(F.concat(F.lit("not a plain line: "), "body", F.lit(" in "), "file")).cast("array<string>")
+    checked = taken.select(F.when(plain, F.col("cells")).otherwise(fails).alias("cells"))
+    return checked.select(*_by_header(names, lambda i: _unquoted_plain(F.col("cells")[i])))
+
+
+def _unquoted_plain(cell: Column) -> Column:
+    inner = F.replace(F.substring(cell, F.lit(2), F.char_length(cell) - 2), F.lit('""'), F.lit('"'))
+    return F.when(cell.startswith('"'), inner).otherwise(cell)
+
+
 def scan_sales_csv(spark: SparkSession, path: str, parser: str = "auto") -> DataFrame:
     """Read a file or folder into the nine raw columns, by header name, all strings.
 
     An empty cell is an empty string; a cell that a short row lacks and a column that the header lacks are
     NULL; extra cells are left out. Files whose headers differ and a missing path fail. ``parser="auto"``
     looks at every file first and reads plain ones in splits; ``"records"`` reads all by records and saves
-    the look. The rows are the same.
+    the look. The rows are the same. ``"plain"`` reads the text once and takes it that all files are plain: a
+    line that is not a whole record of as many cells as the header fails the query when it is run, and a line
+    that repeats the header is passed over wherever it stands.
     """
+    if parser == PLAIN:
+        return _scan_plain(spark, path)
     if parser not in PARSERS:
-        raise ValueError(f"parser must be one of {PARSERS}")
+        raise ValueError(f"parser must be one of {(*PARSERS, PLAIN)}")
     if parser == "auto":
         looks = _plain_files(spark, path)
     else:

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 
 from dwellmart.schemas import HEADERS
 from dwellmart.session import session_conf
-from dwellmart.sources.sales_csv import PARSERS, every_record_on_one_line, scan_sales_csv, write_sales_csv
+from dwellmart.sources.sales_csv import PARSERS, PLAIN, every_record_on_one_line, scan_sales_csv, write_sales_csv
 from dwellmart.sources.surrogate import raw_sales
 from tests.comparison import spark_bag
 
@@ -147,3 +147,31 @@ def test_one_line_files_are_split_between_tasks(spark, folder):
         assert scan.distinct().count() == 20000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+PLAIN_FILES = [
+    [HEADER, ROW, "", '"quoted","with ""marks""",,"a,b",,,,,"é – €"'], [HEADER, ROW, ROW], [HEADER], [HEADER, ",,,,,,,,", ROW.upper()],
+]
+
+
+def test_one_pass_over_plain_files_gives_the_rows_of_the_others(spark, folder):
+    want = Counter()
+    for i, lines in enumerate(PLAIN_FILES):
+        with open(put(folder, f"{i} é.csv", lines, "\n" if i % 2 else "\r\n"), "rb") as file:
+            want += by_python(file.read())
+    for parser in (PLAIN, *PARSERS):
+        assert Counter(map(tuple, scan_sales_csv(spark, folder, parser).collect())) == want
+    plan = scan_sales_csv(spark, folder, PLAIN)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan text") == 1
+
+
+@pytest.mark.parametrize("lines", [FILES[i] for i in (0, 1, 2, 3, 4)])
+def test_one_pass_fails_on_files_that_are_not_plain(spark, folder, lines):
+    path = put(folder, "a.csv", lines)
+    with pytest.raises(Exception, match="not a plain line"):
+        scan_sales_csv(spark, path, PLAIN).collect()
+
+
+def test_an_unknown_parser_is_named(spark, folder):
+    with pytest.raises(ValueError, match="plain"):
+        scan_sales_csv(spark, folder, "other")

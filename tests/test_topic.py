@@ -57,7 +57,7 @@ def test_encoding_shuffles_nothing(spark, sf_dir):
 
     path = shared_folder(spark, "csv")
     write_sales_csv(raw_sales(spark, sf_dir, deliveries=1), path)
-    plan = to_envelopes(scan_sales_csv(spark, path, True), "sales")._jdf.queryExecution().executedPlan().toString()
+    plan = to_envelopes(scan_sales_csv(spark, path, parser="auto"), "sales")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
 
 
