@@ -38,6 +38,8 @@ MOST_WORDS, LONGEST_WORD = 1 << 20, 64
 #: Characters that are tokenized at a time.
 _SLICE = 1 << 20
 _ODD_SPACE = re.compile(r" (?:\s|$)")
+#: Letters with a few marks behind them.
+_MARKED = re.compile(r"([^\W\d_]+)([.,!?;:]{1,3})")
 _SPACE_BEFORE_WORD = re.compile(r" (?=\S)")
 
 
@@ -49,14 +51,30 @@ class Tokenizer:
 
         self.loaded = Loaded.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.parting = int(self._encode("\r")[0])
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.loaded.encode(text, add_special_tokens=False).ids, "<u4")
+        # This call leaves out the places of the tokens in the text.
+        return np.array(self.loaded.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
-        """Ids of words with the space before them, all in one call: a carriage return parts them."""
-        plain = [w for w in words if "\r" not in w and not w[-1:].isspace()]
+        """Ids of words with the space before them, all in one call: a carriage return parts them.
+
+        Letters and the marks behind them are split by the tokenizer, so such a word is put together from
+        its letters, which are often known or new in another form too, and its marks.
+        """
+        plain, odd, marked = {}, [], []
+        for word in words:
+            parts = _MARKED.fullmatch(word)
+            if parts is not None:
+                marked.append((word, *parts.groups()))
+                plain[parts[1]] = None
+            elif "\r" in word or word[-1:].isspace():
+                odd.append(word)
+            else:
+                plain[word] = None
+        plain = [word for word in plain if word not in known]
         if plain:
             ids = self._encode(" " + "\r ".join(plain))
             ends = np.append(np.flatnonzero(ids == self.parting), len(ids)).tolist()
@@ -64,8 +82,12 @@ class Tokenizer:
             for word, end in zip(plain, ends, strict=True):
                 known[word] = raw[4 * start : 4 * end]
                 start = end + 1
-        for word in set(words).difference(plain):
+        for word in odd:
             known[word] = self._encode(f" {word}").tobytes()
+        for word, letters, marks in marked:
+            if marks not in self.marks:
+                self.marks[marks] = self._encode(marks).tobytes()
+            known[word] = known[letters] + self.marks[marks]
 
     def ids(self, text: str) -> bytes:
         return b"".join(self._slice(part) for part in _slices(text))
@@ -75,13 +97,16 @@ class Tokenizer:
         if len(self.known) > MOST_WORDS:
             self.known.clear()
         known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        new = set(words).difference(known)
         if new:
-            self._learn(new, known)
+            self._learn(list(new), known)
         ids = self._encode(first).tobytes() + b"".join(map(known.__getitem__, words))
         for word in new:
             if len(word) > LONGEST_WORD:
-                del known[word]
+                known.pop(word, None)
+                parts = _MARKED.fullmatch(word)
+                if parts is not None:
+                    known.pop(parts[1], None)
         return ids
 
     def sentence_ends(self) -> np.ndarray:
@@ -143,18 +168,17 @@ def cheapest_cuts(at: list[int], penalty: list[int], window: int) -> list[int]:
 def allowed_cuts(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray) -> tuple[list[int], list[int]]:
     """Places of cuts in a shard and their penalties. ``doc_ends`` ascends to the shard's length."""
     n = len(ids)
-    sentences = np.flatnonzero(sentence_end[ids]) + 1
-    at = np.union1d(sentences, doc_ends)
-    edges = np.concatenate([[0], at])
+    # The penalty of a cut after each token, or -1 for none.
+    costs = np.full(n + 1, -1)
+    costs[np.flatnonzero(sentence_end[ids]) + 1] = SENTENCE_CUT
+    costs[doc_ends] = 0
+    costs[0] = 0
+    edges = np.flatnonzero(costs >= 0)
     far = np.flatnonzero(np.diff(edges) > 2 * GRID)
-    inner = [np.arange(edges[i] + GRID, edges[i + 1], GRID) for i in far.tolist()]
-    grid = np.concatenate(inner) if inner else np.zeros(0, np.int64)
-    places = np.union1d(at, grid)
-    penalty = np.full(len(places), SENTENCE_CUT)
-    penalty[np.isin(places, grid)] = INNER_CUT
-    penalty[np.isin(places, doc_ends)] = 0
-    penalty[places == n] = 0
-    return [0, *places.tolist()], [0, *penalty.tolist()]
+    for low, high in zip(edges[far].tolist(), edges[far + 1].tolist(), strict=True):
+        costs[low + GRID : high : GRID] = INNER_CUT
+    places = np.flatnonzero(costs >= 0)
+    return places.tolist(), costs[places].tolist()
 
 
 _PIECES = pa.schema(

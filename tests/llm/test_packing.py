@@ -29,6 +29,7 @@ def test_ids_word_by_word_are_those_of_the_text(text):
 
 def test_ids_of_long_texts_and_special_strings(monkeypatch):
     texts = [LONG[:5000], "x <|endoftext|> y<|endoftext|>", "it's I'll  he'd", "a" * 300 + " b", "x \r y\r z"]
+    texts += ["ab, ab. ab?! ab,,,, ab.\n ab;x ab", "w², Ⅷ. १, é́, _. 9. naïve; don't, 日本。 日本, ! a! " + "z" * 80 + ", z."]
     want = [plain_ids(t) for t in texts]
     monkeypatch.setattr(packing, "_SLICE", 17)
     monkeypatch.setattr(packing, "MOST_WORDS", 50)
@@ -93,3 +94,9 @@ def test_registered_query_round_trip(spark, sf_dir):
     texts = {d.doc_id: [d.text] for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     filled = check(QUERIES["op10_packing_windows"](spark, sf_dir).collect(), texts, 2048)
     assert filled > 0.97
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab é9²,.!?;:'_\r\n\t\u00a0\u0301Ⅷ日")))
+def test_ids_are_those_of_the_whole_text(text):
+    assert np.frombuffer(packing._tokenizer(PATH).ids(text), "<u4").tolist() == plain_ids(text)
