@@ -19,11 +19,27 @@ def choose(mart: DataFrame, counties: Sequence[str] | None = None, property_type
     return chosen
 
 
+#: What a choice without rows is answered with.
+NOTHING_CHOSEN = "no data for the chosen filters"
+
+
 def nothing_chosen(chosen: DataFrame) -> bool:
     """Whether a choice leaves no rows. Reads one row at most."""
     return chosen.isEmpty()
 
 
+def some_chosen(chosen: DataFrame) -> DataFrame:
+    """The rows of a choice; the query fails with ``NOTHING_CHOSEN`` when it is run and finds none.
+
+    The rows are counted in the run that returns them: a part of the plan adds no row and fails where the
+    count is 0.
+    """
+    found = chosen.agg(F.count(F.lit(1)).alias("n"))
+    failing = found.where(F.assert_true(F.col("n") > 0, NOTHING_CHOSEN).isNotNull())
+    nothing = failing.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in chosen.schema))
+    return chosen.unionByName(nothing)
+
+
 def at_latest_year(rows: DataFrame) -> DataFrame:
     """Rows of the highest year among ``rows``. The year is a scalar subquery that the scan filters by."""
     return rows.where(F.col("year") == rows.agg(F.max("year")).scalar())

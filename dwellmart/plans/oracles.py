@@ -150,6 +150,30 @@ ORACLES = {
     "job_row_counts": f"""WITH {_GOLD}
         SELECT 'sent' AS counter, count(*) AS row_count FROM raw UNION ALL SELECT 'failed', 0
         UNION ALL SELECT 'gold_written', count(*) FROM gold UNION ALL SELECT 'warehouse_loaded', count(*) FROM gold""",
+    "message_positions": f"""WITH {_RAW} SELECT unnest(['first', 'second']) AS publish, count(*) AS messages,
+        count(*) AS positions, true AS in_order FROM one_delivery""",
+    "stream_start_position": f"WITH {_RAW} SELECT * FROM one_delivery",
+    "periodic_trigger": f"WITH {_RAW} SELECT unnest([0, 1])::BIGINT AS batch, count(*) AS rows_read FROM one_delivery",
+    "stream_row_counts": f"""WITH {_SILVER},
+        n AS (SELECT (SELECT count(*) FROM one_delivery) AS sent, count(*) AS sales,
+            count(*) FILTER (address IS NULL OR date_of_sale IS NULL OR price_eur IS NULL) AS unknown FROM silver)
+        SELECT 'bronze' AS stage, unnest([1, 2])::INTEGER AS delivery, sent AS read, sent AS first_copies, sent AS inserted FROM n
+        UNION ALL SELECT 'silver', 1, sent, sales, sales FROM n UNION ALL SELECT 'silver', 2, sent, sales, unknown FROM n""",
+    "table_reload": f"""WITH {_GOLD}
+        SELECT 'before' AS reader, count(*) AS row_count, sum(transaction_count)::BIGINT AS sales FROM gold UNION ALL
+        SELECT unnest(['after', 'by_name']), count(*), sum(transaction_count)::BIGINT FROM gold WHERE year >= 1995""",
+    "stage_outcomes": f"""WITH {_MART},
+        counted AS (SELECT 0 AS position, 'publish' AS stage, count(*) AS row_count FROM raw
+            UNION ALL SELECT 1, 'bronze', count(*) FROM raw UNION ALL SELECT 2, 'silver', count(*) FROM silver
+            UNION ALL SELECT 3, 'gold', count(*) FROM gold UNION ALL SELECT 4, 'warehouse', count(*) FROM gold
+            UNION ALL SELECT 5, 'mart', count(*) FROM mart)
+        SELECT position, stage, row_count, NULL AS error FROM counted UNION ALL SELECT 6, 'check', NULL, 'QualityError'""",
+    "empty_choice": f"""WITH {_MART},
+        wanted(choice, county) AS (SELECT 'some', unnest([{_texts(SELECTED_COUNTIES)}])
+            UNION ALL SELECT 'none', unnest([{_texts(ABSENT_COUNTIES)}]))
+        SELECT choice, panel, count(m.county) > 0 AS has_rows
+        FROM wanted CROSS JOIN (SELECT unnest(['trend', 'map', 'table']) AS panel) LEFT JOIN mart m USING (county)
+        GROUP BY ALL""",
     "staging_view": f"WITH {_STAGED} SELECT * FROM staged",
     "lag_prior_year": f"WITH {_STAGED} SELECT county, property_type, year, median_price_eur, prior_median_eur FROM lagged",
     "yoy_change": f"WITH {_MART} SELECT county, property_type, year, median_price_change_eur, median_price_change_pct FROM mart",

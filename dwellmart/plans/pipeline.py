@@ -1,6 +1,8 @@
 """The stages as jobs, and all of them in order."""
 
 import logging
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from dwellmart.sources.sales_csv import scan_sales_csv
 from dwellmart.sources.tables import name_table, read_table, replace_table, stream_table
 from dwellmart.sources.topic import Published, publish, stream_topic
 from dwellmart.streaming.bronze import start_bronze
+from dwellmart.streaming.counters import BatchCounts, run_counted
 from dwellmart.streaming.silver import SilverTable, start_silver
 from dwellmart.streaming.triggers import PERIOD
 
@@ -33,6 +36,8 @@ class Store:
     # "kafka" with its connection options, where that package is installed.
     topic_format: str = "parquet"
     topic_options: dict = field(default_factory=dict)
+    # Time of the first message that a fresh Bronze checkpoint takes in; None for all there are.
+    topic_start: str | None = None
     # Names that the catalog knows the warehouse table and the mart by.
     warehouse_name: str = "county_yearly_price_summary"
     mart_name: str = "property_price_summary"
@@ -64,15 +69,30 @@ def _connection(options: dict) -> dict:
     return {name: value for name, value in options.items() if name.startswith("kafka.")}
 
 
-def bronze_job(spark: SparkSession, store: Store, mode: str = "once", period: str = PERIOD) -> None:
-    """Take in new messages; in a mode other than ``once`` this runs until it is stopped."""
-    envelopes = stream_topic(spark, store.topic, format=store.topic_format, **store.topic_options)
-    start_bronze(envelopes, store.path("bronze"), store.checkpoint("bronze"), mode, period).awaitTermination()
+def bronze_job(spark: SparkSession, store: Store, mode: str = "once", period: str = PERIOD) -> list[BatchCounts]:
+    """Take in new messages and return the counts of each batch.
 
+    In mode ``until_idle`` a periodic stream ends itself when a trigger has found nothing new; in any other mode
+    but ``once`` this runs until it is stopped.
+    """
+    envelopes = stream_topic(spark, store.topic, store.topic_format, store.topic_start, **store.topic_options)
+    batches = run_counted(
+        spark,
+        lambda: start_bronze(envelopes, store.path("bronze"), store.checkpoint("bronze"), mode, period),
+        until_idle=mode == "until_idle",
+    )
+    logger.info("took in %d messages in %d batches", sum(b.read for b in batches), len(batches))
+    return batches
 
-def silver_job(spark: SparkSession, store: Store) -> None:
+
+def silver_job(spark: SparkSession, store: Store) -> list[BatchCounts]:
+    """Upsert what Bronze has got, and return the counts of each batch."""
+    batches: list[BatchCounts] = []
     bronze = stream_table(spark, store.path("bronze"), BRONZE_SCHEMA, **store.read_options)
-    start_silver(bronze, store.silver(spark), store.checkpoint("silver")).awaitTermination()
+    start_silver(bronze, store.silver(spark), store.checkpoint("silver"), counts=batches).awaitTermination()
+    for batch in batches:
+        logger.info("batch %d: %d rows, %d sales, %d new", batch.batch_id, batch.read, batch.first_copies, batch.inserted)
+    return batches
 
 
 def gold_job(spark: SparkSession, store: Store) -> int:
@@ -107,21 +127,57 @@ def read_mart(spark: SparkSession, store: Store) -> DataFrame:
     return read_table(spark, store.path("mart"), MART_SCHEMA)
 
 
+OUTCOME_SCHEMA = "run_id string, position int, stage string, row_count bigint, error string"
+
+
+def stage_outcomes(spark: SparkSession, store: Store) -> DataFrame:
+    """What became of the stages of all runs: rows, or the error of the stage that ended a run."""
+    return spark.read.schema(OUTCOME_SCHEMA).json(store.path("outcomes"))
+
+
+def run_stages(spark: SparkSession, store: Store, stages: dict[str, Callable[[], int]]) -> None:
+    """Run stages in their order and write down what became of each, also of the one that fails.
+
+    A stage gives its number of rows. One that fails raises, and later ones do not run.
+    """
+    outcomes, run_id = [], uuid.uuid4().hex
+    try:
+        for position, (stage, job) in enumerate(stages.items()):
+            try:
+                outcomes.append((run_id, position, stage, job(), None))
+            except Exception as failure:
+                outcomes.append((run_id, position, stage, None, f"{type(failure).__name__}: {failure}".splitlines()[0]))
+                raise
+    finally:
+        written = spark.createDataFrame(outcomes, OUTCOME_SCHEMA).coalesce(1).write.option("ignoreNullFields", False)
+        written.mode("append").json(store.path("outcomes"))
+
+
 def run_pipeline(
     spark: SparkSession, sales: str | DataFrame, store: Store, check: bool = True, parser: str = "auto"
 ) -> DataFrame:
     """Publish, ingest, clean, summarise, load, build the mart and check it, in this order.
 
-    ``sales`` is a CSV path, read with ``parser``, or raw rows. A stage that fails raises and later stages do not run. Running
-    again on the same store re-publishes and adds only sales that are new.
+    ``sales`` is a CSV path, read with ``parser``, or raw rows. A stage that fails raises and later stages do not run;
+    ``stage_outcomes`` tells which one and why. Running again on the same store re-publishes and adds only
+    sales that are new.
     """
-    raw = scan_sales_csv(spark, sales, parser) if isinstance(sales, str) else sales
-    publish_job(raw, store)
-    bronze_job(spark, store)
-    silver_job(spark, store)
-    gold_job(spark, store)
-    warehouse_job(spark, store)
-    mart_job(spark, store)
-    if check:
+
+    def publish_stage() -> int:
+        raw = scan_sales_csv(spark, sales, parser) if isinstance(sales, str) else sales
+        return publish_job(raw, store).sent
+
+    def check_stage() -> int:
         check_job(spark, store)
+        return read_mart(spark, store).count()
+
+    stages = {
+        "publish": publish_stage,
+        "bronze": lambda: sum(batch.read for batch in bronze_job(spark, store)),
+        "silver": lambda: sum(batch.inserted for batch in silver_job(spark, store)),
+        "gold": lambda: gold_job(spark, store),
+        "warehouse": lambda: warehouse_job(spark, store),
+        "mart": lambda: mart_job(spark, store),
+    }
+    run_stages(spark, store, {**stages, "check": check_stage} if check else stages)
     return read_mart(spark, store)

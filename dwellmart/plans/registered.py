@@ -4,6 +4,9 @@ Every query takes ``(spark, sf_dir)``, reads whole tables and returns a lazy Dat
 stored tables and streams first run their jobs in a new folder of the shared folder.
 """
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,7 @@ from dwellmart.plans.pipeline import (
     publish_job,
     run_pipeline,
     silver_job,
+    stage_outcomes,
     warehouse_job,
 )
 from dwellmart.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, MART_SCHEMA, SALE_COLUMNS, SALE_KEY, SILVER_SCHEMA, SUMMARY_KEY
@@ -31,7 +35,7 @@ from dwellmart.sources.counties import county_coordinates
 from dwellmart.sources.sales_csv import scan_sales_csv, write_sales_csv
 from dwellmart.sources.surrogate import raw_sales
 from dwellmart.sources.tables import read_table, replace_table, stream_table
-from dwellmart.sources.topic import message_key, stream_topic, to_envelopes
+from dwellmart.sources.topic import message_key, read_topic, stream_topic, to_envelopes
 from dwellmart.streaming.bronze import bronze_rows, rename_headers
 from dwellmart.streaming.silver import silver_rows, start_silver
 
@@ -211,6 +215,61 @@ def stream_resume(spark, sf):
     return read_table(spark, store.path("bronze"), BRONZE_SCHEMA).select(*SALE_COLUMNS)
 
 
+@registered
+def message_positions(spark, sf):
+    """Two publishes: no message shares topic, partition and offset with another, and later ones come after."""
+    store = new_store(spark)
+    once = raw_sales(spark, sf, deliveries=1)
+    first, second = publish_job(once, store), publish_job(once, store)
+    bronze_job(spark, store)
+    bronze = read_table(spark, store.path("bronze"), BRONZE_SCHEMA)
+    position = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
+    publishes = F.when(F.col("_kafka_offset") <= first.last_offset, "first").otherwise("second")
+    by_place = bronze.groupBy(*position, publishes.alias("publish")).agg(F.count("*").alias("n"))
+    return by_place.groupBy("publish").agg(
+        F.sum("n").alias("messages"), F.count("*").alias("positions"),
+        (F.max("_kafka_offset") <= second.last_offset).alias("in_order"),
+    )
+
+
+@registered
+def stream_start_position(spark, sf):
+    """A fresh checkpoint that begins with the second of two publishes."""
+    store = new_store(spark)
+    once = raw_sales(spark, sf, deliveries=1)
+    publish_job(once, store)
+    last = read_topic(spark, store.topic).agg(F.max("timestamp") + F.expr("INTERVAL 1 MICROSECOND")).first()[0]
+    publish_job(once, store)
+    bronze_job(spark, replace(store, topic_start=str(last)))
+    return read_table(spark, store.path("bronze"), BRONZE_SCHEMA).select(*SALE_COLUMNS)
+
+
+@registered
+def periodic_trigger(spark, sf):
+    """A periodic stream over two publishes, a file at a time, that ends itself when nothing new is found."""
+    store = new_store(spark)
+    once = raw_sales(spark, sf, deliveries=1).coalesce(1)
+    for _ in range(2):
+        publish_job(once, store)
+    paced = replace(store, topic_options={"maxFilesPerTrigger": 1})
+    batches = bronze_job(spark, paced, "until_idle", "1 second")
+    rows = [(batch.batch_id, batch.read) for batch in batches]
+    return spark.createDataFrame(rows, "batch bigint, rows_read bigint")
+
+
+@registered
+def stream_row_counts(spark, sf):
+    """What the streaming jobs count when the same file comes twice."""
+    store = new_store(spark)
+    once, counts = raw_sales(spark, sf, deliveries=1), []
+    for delivery in (1, 2):
+        publish_job(once, store)
+        for stage, job in (("bronze", bronze_job), ("silver", silver_job)):
+            for batch in job(spark, store):
+                counts.append((stage, delivery, batch.read, batch.first_copies, batch.inserted))
+    return spark.createDataFrame(counts, "stage string, delivery int, read bigint, first_copies bigint, inserted bigint")
+
+
 # --- Silver -----------------------------------------------------------------------------------------
 
 
@@ -331,6 +390,28 @@ def gold_overwrite(spark, sf):
     return read_table(spark, path, GOLD_SCHEMA)
 
 
+@registered
+def table_reload(spark, sf):
+    """What readers of a replaced table see: one that opened it before the load, one after it and after a failed one."""
+    store = new_store(spark)
+    gold, path = gold_of(spark, sf), store.path("gold")
+    replace_table(gold, path, store.warehouse_name)
+    before = read_table(spark, path, GOLD_SCHEMA)
+    replace_table(read_table(spark, path, GOLD_SCHEMA).where("year >= 1995"), path, store.warehouse_name)
+    broken = read_table(spark, path, GOLD_SCHEMA).withColumn("county", F.raise_error(F.lit("broken load")).cast("string"))
+    try:
+        replace_table(broken, path, store.warehouse_name)
+    except Exception as failure:
+        if "broken load" not in str(failure):
+            raise
+    readers = {"before": before, "after": read_table(spark, path, GOLD_SCHEMA), "by_name": spark.table(store.warehouse_name)}
+    sums = [
+        rows.agg(F.count("*").alias("row_count"), F.sum("transaction_count").alias("sales")).select(F.lit(name).alias("reader"), "*")
+        for name, rows in readers.items()
+    ]
+    return reduce(DataFrame.unionByName, sums)
+
+
 # --- warehouse, staging, mart -----------------------------------------------------------------------
 
 
@@ -475,3 +556,33 @@ def end_to_end_run(spark, sf):
     path = shared_folder(spark, "csv")
     write_sales_csv(raw_sales(spark, sf, spoiled=False), path)
     return run_pipeline(spark, path, new_store(spark))
+
+
+@registered
+def stage_outcomes_query(spark, sf):
+    """What is written down of a run over spoiled sales, which its check ends."""
+    store = new_store(spark)
+    try:
+        run_pipeline(spark, raw_sales(spark, sf), store)
+    except checks.QualityError:
+        pass
+    return stage_outcomes(spark, store).select(
+        "position", "stage", "row_count", F.regexp_extract("error", r"^\w+", 0).alias("error")
+    )
+
+
+@registered
+def empty_choice(spark, sf):
+    """Which panels answer a choice: one with rows, and one without."""
+    served = served_of(spark, sf)
+    answers = []
+    for choice, counties in (("some", SELECTED_COUNTIES), ("none", ABSENT_COUNTIES)):
+        for name, panel in (("trend", panels.trend_series), ("map", panels.map_dataset), ("table", panels.underlying_table)):
+            try:
+                found = panel(served, counties).agg(F.count("*")).first()[0] > 0
+            except Exception as failure:
+                if selection.NOTHING_CHOSEN not in str(failure):
+                    raise
+                found = False
+            answers.append((choice, name, found))
+    return spark.createDataFrame(answers, "choice string, panel string, has_rows boolean")

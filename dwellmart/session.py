@@ -43,6 +43,13 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders whose path fits a glob, wherever their file system is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    return [status.getPath().toString() for status in found or []]
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply settings to one session for the length of a block, then put the old ones back."""

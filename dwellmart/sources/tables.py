@@ -1,13 +1,45 @@
-"""Reading and fully replacing stored tables."""
+"""Reading and fully replacing stored tables.
 
+A replaced table is a folder of loads. Each load is written to a folder of its own and counts from the moment its
+writer has committed it; the catalog is then pointed at it. Who opened the table before keeps
+reading the load before, which stays until the next one is complete. A load that fails changes nothing.
+"""
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from dwellmart.session import discard, paths_like
+
+
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or ``None`` if there is nothing at its path."""
+    try:
+        return read()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def loads(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the complete loads of a replaced table, oldest first."""
+    done = paths_like(spark, f"{path.rstrip('/')}/load-*/_SUCCESS")
+    return sorted(name.removesuffix("/_SUCCESS") for name in done)
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds the rows of a table: its latest load, or the path itself if it is not replaced as a whole."""
+    return [path, *loads(spark, path)][-1]
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Batch scan of a stored table. Filters and column choices of the caller reach the Parquet scan."""
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(current_folder(spark, path))
 
 
 def stream_table(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
@@ -16,20 +48,31 @@ def stream_table(spark: SparkSession, path: str, schema: StructType, **options)
 
 
 def name_table(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
-    """Let the catalog of this session know a stored table by name, where it does not yet."""
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path, "parquet", schema)
+    """Let the catalog know the latest load of a table by name."""
+    folder = current_folder(spark, path)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, folder, "parquet", schema)
 
 
 def replace_table(rows: DataFrame, path: str, name: str | None = None) -> int:
     """Replace the table by ``rows`` and return how many there were, counted while writing.
 
-    With a ``name`` the table is also known to the catalog.
+    With a ``name`` the catalog is pointed at the new load, in one step. ``rows`` may be read from the table itself.
+    One load at a time is assumed.
     """
-    loaded = Observation("replace_table")
-    writer = rows.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
-    if name is None:
-        writer.save(path)
-    else:
-        writer.option("path", path).saveAsTable(name)
-    return loaded.get["rows"]
+    spark, loaded = rows.sparkSession, Observation("replace_table")
+    before = loads(spark, path)
+    number = int(before[-1].rpartition("load-")[2].partition("-")[0]) + 1 if before else 0
+    folder = f"{path.rstrip('/')}/load-{number:09d}-{uuid.uuid4().hex[:8]}"
+    rows.observe(loaded, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    count = loaded.get["rows"]
+    if name is not None:
+        name_table(spark, name, path, rows.schema)
+    kept = {stored.rpartition("/")[2] for stored in [*before[-1:], folder]}
+    for stored in paths_like(spark, f"{path.rstrip('/')}/load-*"):
+        if stored.rpartition("/")[2] not in kept:
+            discard(spark, stored)
+    return count

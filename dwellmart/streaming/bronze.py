@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dwellmart.schemas import BRONZE_SCHEMA, HEADERS, RAW_SCHEMA
+from dwellmart.streaming.counters import OBSERVED
 from dwellmart.streaming.triggers import PERIOD, trigger_for
 
 
@@ -30,9 +31,10 @@ def bronze_rows(envelopes: DataFrame) -> DataFrame:
 def start_bronze(
     envelopes: DataFrame, path: str, checkpoint: str, mode: str = "once", period: str = PERIOD
 ) -> StreamingQuery:
-    """Append new messages to the table. A restart on the same checkpoint reads only what is new."""
+    """Append new messages to the table, counting them. A restart on the same checkpoint reads only what is new."""
     return (
         bronze_rows(envelopes)
+        .observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -11,9 +11,7 @@ assumed.
 """
 
 import hashlib
-from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +21,8 @@ from dwellmart.operators.first_copy import first_copy
 from dwellmart.operators.insert_only import rows_of_keys, unseen_rows
 from dwellmart.schemas import ARRIVAL_ORDER, SALE_KEY, SILVER_SCHEMA
 from dwellmart.session import discard, session_conf, shared_folder
+from dwellmart.sources.tables import if_present
+from dwellmart.streaming.counters import BatchCounts
 from dwellmart.streaming.triggers import PERIOD, trigger_for
 
 BATCH_COLUMNS = ["query_id", "batch_id"]
@@ -47,16 +47,6 @@ def silver_rows(bronze: DataFrame) -> DataFrame:
     return bronze.withColumns({name: clean(F.col(name)) for name, clean in typed.items()})
 
 
-def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """The frame, or ``None`` if there is nothing at its path."""
-    try:
-        return read()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 class SilverTable:
     """The stored Silver table at ``path``.
 
@@ -70,7 +60,7 @@ class SilverTable:
         self.layout = f"{path.rstrip('/')}/layout"
         self.name = f"silver_{hashlib.sha256(self.data.encode()).hexdigest()[:16]}"
         self.null_safe = null_safe
-        layout = _if_present(lambda: spark.read.schema(_LAYOUT).json(self.layout))
+        layout = if_present(lambda: spark.read.schema(_LAYOUT).json(self.layout))
         self.settled = layout is not None
         self.buckets = layout.first().buckets if layout is not None else buckets
 
@@ -78,7 +68,7 @@ class SilverTable:
         """Write the number of buckets down, once."""
         if self.settled:
             return
-        layout = _if_present(lambda: spark.read.schema(_LAYOUT).json(self.layout))
+        layout = if_present(lambda: spark.read.schema(_LAYOUT).json(self.layout))
         if layout is not None:
             self.buckets = layout.first().buckets
         elif self.buckets is None:
@@ -95,7 +85,7 @@ class SilverTable:
         self._settle(spark)
         if not spark.catalog.tableExists(self.name):
             self._create(spark)
-        if _if_present(lambda: self.read(spark)) is not None:
+        if if_present(lambda: self.read(spark)) is not None:
             spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
             spark.catalog.refreshTable(self.name)
 
@@ -112,8 +102,8 @@ class SilverTable:
         """The sales, without the columns of the file layout."""
         return spark.read.schema(SILVER_SCHEMA).parquet(self.data).select(*SILVER_SCHEMA.names)
 
-    def upsert(self, batch: DataFrame, query_id: str, batch_id: int) -> None:
-        """Insert the rows of a batch whose natural key no other batch has brought.
+    def upsert(self, batch: DataFrame, query_id: str, batch_id: int) -> BatchCounts:
+        """Insert the rows of a batch whose natural key no other batch has brought, and count them on the way.
 
         Only keys are looked up: the different keys of the batch are stored in the shared folder, and of them
         those that the table lacks. The whole rows are read again for these alone. Where they are few, as
@@ -131,23 +121,25 @@ class SilverTable:
             self.attach(spark)
             own = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
             others = spark.table(self.name).where(~own)
+            read = Observation("read")
             if others.isEmpty():
-                self._replace_batch(first_copy(batch, SALE_KEY, ARRIVAL_ORDER), query_id, batch_id)
-                return
+                fresh = first_copy(counted(batch, read), SALE_KEY, ARRIVAL_ORDER)
+                inserted = self._replace_batch(fresh, query_id, batch_id)
+                return BatchCounts(batch_id, read.get["rows"], inserted, inserted)
             workspace = shared_folder(spark, "keys")
-            keys = batch.select(*SALE_KEY).distinct()
+            different, unknown = Observation("different"), Observation("unknown")
+            keys = counted(counted(batch.select(*SALE_KEY), read).distinct(), different)
             keys.write.parquet(f"{workspace}/all")
             keys = spark.read.schema(keys.schema).parquet(f"{workspace}/all")
-            counted = Observation("unseen")
-            unseen = self.unseen(keys, others).observe(counted, F.count(F.lit(1)).alias("keys"))
-            unseen.write.parquet(f"{workspace}/unseen")
+            counted(self.unseen(keys, others), unknown).write.parquet(f"{workspace}/unseen")
             unseen = spark.read.schema(keys.schema).parquet(f"{workspace}/unseen")
-            if counted.get["keys"] <= FEW_KEYS:
+            if unknown.get["rows"] <= FEW_KEYS:
                 fresh = first_copy(rows_of_keys(batch, F.broadcast(unseen), SALE_KEY), SALE_KEY, ARRIVAL_ORDER)
             else:
                 fresh = rows_of_keys(first_copy(batch, SALE_KEY, ARRIVAL_ORDER), unseen, SALE_KEY)
-            self._replace_batch(fresh, query_id, batch_id)
+            inserted = self._replace_batch(fresh, query_id, batch_id)
             discard(spark, workspace)
+            return BatchCounts(batch_id, read.get["rows"], different.get["rows"], inserted)
 
     def unseen(self, fresh: DataFrame, others: DataFrame) -> DataFrame:
         """Rows of a stored batch, with distinct keys, that the table lacks.
@@ -191,25 +183,40 @@ class SilverTable:
             dealt = marked.select(*SILVER_SCHEMA.names, *BATCH_COLUMNS, YEAR).repartition(target.buckets, *SALE_KEY)
             dealt.write.insertInto(target.name, overwrite=True)
 
-    def _replace_batch(self, rows: DataFrame, query_id: str, batch_id: int) -> None:
-        (
-            rows.select(
-                *SILVER_SCHEMA.names,
-                F.lit(query_id).alias("query_id"),
-                F.lit(batch_id).cast("bigint").alias("batch_id"),
-                F.year("date_of_sale").alias(YEAR),
-            ).write.insertInto(self.name, overwrite=True)
-        )
+    def _replace_batch(self, rows: DataFrame, query_id: str, batch_id: int) -> int:
+        inserted = Observation("inserted")
+        counted(rows, inserted).select(
+            *SILVER_SCHEMA.names,
+            F.lit(query_id).alias("query_id"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.year("date_of_sale").alias(YEAR),
+        ).write.insertInto(self.name, overwrite=True)
+        return inserted.get["rows"]
+
+
+def counted(rows: DataFrame, seen: Observation) -> DataFrame:
+    """The rows, counted by whatever reads them."""
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
 def start_silver(
-    bronze: DataFrame, table: SilverTable, checkpoint: str, mode: str = "once", period: str = PERIOD
+    bronze: DataFrame,
+    table: SilverTable,
+    checkpoint: str,
+    mode: str = "once",
+    period: str = PERIOD,
+    counts: list[BatchCounts] | None = None,
 ) -> StreamingQuery:
-    """Upsert new Bronze rows batch by batch; the table is the only state, so no row is ever too late."""
+    """Upsert new Bronze rows batch by batch; the table is the only state, so no row is ever too late.
+
+    The counts of every batch are added to ``counts``.
+    """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        table.upsert(batch, query_id, batch_id)
+        found = table.upsert(batch, query_id, batch_id)
+        if counts is not None:
+            counts.append(found)
 
     return (
         silver_rows(bronze)

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from dwellmart.operators.county_map import weighted_median_by_county, with_coordinates
-from dwellmart.operators.selection import at_latest_year, choices, choose, default_counties, nothing_chosen
+from dwellmart.operators.selection import at_latest_year, choices, choose, default_counties, nothing_chosen, some_chosen, NOTHING_CHOSEN
 from dwellmart.plans import panels
 from dwellmart.schemas import MART_SCHEMA
 from dwellmart.sources.counties import COUNTY_COORDINATES, county_coordinates
@@ -118,3 +118,12 @@ def test_latest_year_filters_the_scan(spark, folder, sample):
     plan = at_latest_year(choose(spark.read.parquet(folder), ["Dublin"]))._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in plan and "Join" not in plan
     assert "In(county" in plan or "EqualTo(county" in plan
+
+
+def test_a_choice_without_rows_fails_in_its_own_run(sample):
+    some, none = choose(sample, ["Cork"]), choose(sample, ["Atlantis"])
+    assert some_chosen(some).exceptAll(some).isEmpty() and some_chosen(some).count() == some.count()
+    with pytest.raises(Exception, match=NOTHING_CHOSEN):
+        some_chosen(none).collect()
+    with pytest.raises(Exception, match=NOTHING_CHOSEN):
+        some_chosen(none).select("county").orderBy("county").collect()

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from dwellmart.operators.checks import QualityError
-from dwellmart.plans.pipeline import Store, mart_job, read_mart, run_pipeline
+from dwellmart.plans.pipeline import Store, mart_job, read_mart, run_pipeline, run_stages, stage_outcomes
 from dwellmart.plans.registered import mart_of
 from dwellmart.schemas import GOLD_SCHEMA, MART_SCHEMA
 from dwellmart.sources.sales_csv import write_sales_csv
@@ -66,3 +66,28 @@ def test_replace_can_name_the_table(spark, folder, sf_dir):
     assert replace_table(gold, folder, name="warehouse_table_test") == 0
     assert spark.table("warehouse_table_test").schema.names == GOLD_SCHEMA.names
     spark.sql("DROP TABLE warehouse_table_test")
+
+
+def test_outcomes_tell_what_became_of_each_stage(spark, folder):
+    store = Store(folder)
+    run_stages(spark, store, {"one": lambda: 1, "two": lambda: 2})
+
+    def fails():
+        raise KeyError("no such thing\nand more")
+
+    with pytest.raises(KeyError):
+        run_stages(spark, store, {"one": lambda: 5, "two": fails, "three": lambda: 3})
+    rows = stage_outcomes(spark, store).orderBy("error", "position", "row_count").collect()
+    by_run = {r.run_id: [(x.stage, x.row_count, x.error) for x in sorted(rows, key=lambda x: x.position) if x.run_id == r.run_id] for r in rows}
+    assert sorted(by_run.values()) == [
+        [("one", 1, None), ("two", 2, None)],
+        [("one", 5, None), ("two", None, "KeyError: 'no such thing\\nand more'")],
+    ]
+
+
+def test_a_missing_file_is_an_outcome(spark, folder):
+    store = Store(f"{folder}/store", buckets=4)
+    with pytest.raises(AnalysisException):
+        run_pipeline(spark, f"{folder}/absent.csv", store)
+    row = stage_outcomes(spark, store).first()
+    assert (row.position, row.stage, row.row_count) == (0, "publish", None) and "PATH_NOT_FOUND" in row.error

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from dwellmart.schemas import ENVELOPE_SCHEMA, HEADERS, RAW_SCHEMA
-from dwellmart.sources.topic import message_key, publish, read_topic, stream_topic, to_envelopes
+from dwellmart.sources import topic
+from dwellmart.sources.topic import message_key, next_offset, publish, read_topic, stream_topic, to_envelopes
 
 
 def raw(spark, *rows):
@@ -65,3 +66,58 @@ def test_kafka_is_passed_through(spark):
     # The connector is not installed here: the request has to reach Spark's own lookup of it.
     with pytest.raises(Exception, match="(?i)kafka"):
         stream_topic(spark, "sales", format="kafka", **{"kafka.bootstrap.servers": "broker:9092"})
+
+
+POSITION = ["topic", "partition", "offset"]
+
+
+def test_a_position_names_one_message_over_all_publishes(spark, folder, sf_dir):
+    from dwellmart.sources.surrogate import raw_sales
+
+    rows = raw_sales(spark, sf_dir, deliveries=1).repartition(5)
+    assert next_offset(spark, folder) == 0
+    lasts = [publish(rows, folder, "sales").last_offset for _ in range(3)]
+    messages = read_topic(spark, folder)
+    assert messages.select(*POSITION).distinct().count() == messages.count() == 3 * rows.count()
+    assert lasts == sorted(lasts) and next_offset(spark, folder) == lasts[-1] + 1
+    # Offsets follow the publishes in each partition.
+    spans = messages.groupBy("partition", "timestamp").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    for a in (found := spans.collect()):
+        assert all(a.high < b.low for b in found if b.partition == a.partition and b.timestamp > a.timestamp)
+
+
+def test_a_publish_that_was_cut_off_before_its_note_keeps_its_offsets(spark, folder):
+    rows = raw(spark, ("01/02/2020", "A"), ("01/02/2020", "B"))
+    publish(rows, folder, "sales")
+    to_envelopes(rows, "sales", first_offset=next_offset(spark, folder)).write.mode("append").parquet(folder)
+    last = publish(rows, folder, "sales").last_offset
+    messages = read_topic(spark, folder)
+    assert messages.select("offset").distinct().count() == messages.count() == 6
+    assert messages.agg(F.max("offset")).first()[0] == last
+    # A topic from before there were notes.
+    to_envelopes(rows, "sales", first_offset=7).write.parquet(f"{folder}-old")
+    assert next_offset(spark, f"{folder}-old") > 7
+
+
+def test_a_publish_without_rows_moves_nothing(spark, folder):
+    publish(raw(spark, ("01/02/2020", "A")), folder, "sales")
+    before = next_offset(spark, folder)
+    assert publish(raw(spark), folder, "sales").last_offset is None
+    assert next_offset(spark, folder) == before
+
+
+def test_too_many_tasks_fail(spark, monkeypatch):
+    monkeypatch.setattr(topic, "MOST_TASKS", 2)
+    rows = raw(spark, *((f"0{n}/02/2020", "A") for n in range(1, 9))).repartition(4)
+    with pytest.raises(Exception, match="at most 2 tasks"):
+        to_envelopes(rows, "sales").collect()
+
+
+def test_a_start_time_reaches_the_files(spark, folder):
+    publish(raw(spark, ("01/02/2020", "A")), folder, "sales")
+    plan = stream_topic(spark, folder, start="2030-01-01 00:00:00")
+    query = plan.writeStream.format("memory").queryName("started").trigger(availableNow=True)
+    query.option("checkpointLocation", f"{folder}-checkpoint").start().awaitTermination(60)
+    assert spark.table("started").count() == 0
+    batch = read_topic(spark, folder).where(F.col("timestamp") >= F.lit("2030-01-01 00:00:00").cast("timestamp"))
+    assert "GreaterThanOrEqual(timestamp" in batch._jdf.queryExecution().executedPlan().toString()
