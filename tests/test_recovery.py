@@ -1,0 +1,114 @@
+"""Streams whose process is killed in the middle of a batch end with the rows of an undisturbed run."""
+
+import os
+import signal
+import subprocess
+import sys
+import time
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from dwellmart.plans.pipeline import Store, bronze_job, silver_job
+from dwellmart.schemas import BRONZE_SCHEMA, SALE_COLUMNS
+from dwellmart.sources.surrogate import raw_sales
+from dwellmart.sources.tables import read_table
+from dwellmart.sources.topic import publish
+from tests.comparison import spark_bag
+
+ROOT = Path(__file__).resolve().parent.parent
+PARTS = 3
+
+# A child that stands still between what a batch has written and its commit, where the parent kills it.
+CHILD = """
+import sys, time
+sys.path.insert(0, {root!r})
+from dwellmart.plans import pipeline
+from dwellmart.plans.pipeline import Store
+from dwellmart.session import build_session
+from dwellmart.streaming import bronze, silver
+stage, root, warehouse, batch = {stage!r}, {store!r}, {warehouse!r}, {batch}
+spark = build_session("child", "local[2]", spark__ui__enabled="false", spark__sql__warehouse__dir=warehouse)
+store = Store(root, buckets=4, read_options={{"maxFilesPerTrigger": 2}}, topic_options={{"maxFilesPerTrigger": 1}})
+if stage == "silver":
+    upsert = silver.SilverTable.upsert
+    def stopping(self, rows, query_id, batch_id):
+        counts = upsert(self, rows, query_id, batch_id)
+        if batch_id == batch:
+            print("WRITTEN", flush=True)
+            time.sleep(600)
+        return counts
+    silver.SilverTable.upsert = stopping
+    pipeline.silver_job(spark, store)
+else:
+    pipeline.bronze_job(spark, store)
+"""
+
+
+def child(stage, store, folder, batch):
+    code = CHILD.format(root=str(ROOT), stage=stage, store=store.root, warehouse=f"{folder}/child", batch=batch)
+    pipes = {"stdout": subprocess.PIPE, "stderr": subprocess.DEVNULL, "text": True}
+    return subprocess.Popen([sys.executable, "-c", code], start_new_session=True, **pipes)
+
+
+def kill(process):
+    """The child and the JVM that it has started, which share a session of their own."""
+    os.killpg(process.pid, signal.SIGKILL)
+    process.wait(60)
+
+
+def numbers(folder):
+    return {int(name) for name in os.listdir(folder) if name.isdigit()} if os.path.isdir(folder) else set()
+
+
+@pytest.fixture
+def stores(spark, folder, sf_dir):
+    """Two stores with the same messages, spoiled keys among them, each sent twice."""
+    rows = raw_sales(spark, sf_dir, deliveries=1).withColumn("part", F.crc32("Address") % PARTS).cache()
+    paces = {"read_options": {"maxFilesPerTrigger": 2}, "topic_options": {"maxFilesPerTrigger": 1}}
+    made = [Store(f"{folder}/{name}", buckets=4, **paces) for name in ("calm", "killed")]
+    # One file each, so that the batches of both stores are the same.
+    for store in made:
+        for n in range(2 * PARTS):
+            publish(rows.where(F.col("part") == n % PARTS).drop("part").coalesce(1), store.topic, store.topic_name)
+    rows.unpersist()
+    return made
+
+
+def test_bronze_killed_while_a_batch_is_open(spark, folder, stores):
+    calm, killed = stores
+    bronze_job(spark, calm)
+    checkpoint, kills = killed.checkpoint("bronze"), 0
+    for _ in range(2):
+        process, deadline = child("bronze", killed, folder, 0), time.time() + 120
+        while time.time() < deadline and process.poll() is None:
+            # A batch is open from the note of what it is to read to its commit.
+            opened = numbers(f"{checkpoint}/offsets") - numbers(f"{checkpoint}/commits")
+            if opened and max(opened) >= kills:
+                break
+            time.sleep(0.002)
+        kills += process.poll() is None
+        kill(process) if process.poll() is None else process.wait()
+    assert kills
+    bronze_job(spark, killed)
+    want, got = (read_table(spark, s.path("bronze"), BRONZE_SCHEMA).select(*SALE_COLUMNS) for s in stores)
+    assert spark_bag(got) == spark_bag(want)
+
+
+@pytest.mark.parametrize("batch", [0, 1])
+def test_silver_killed_between_write_and_commit(spark, folder, stores, batch):
+    calm, killed = stores
+    for store in stores:
+        bronze_job(spark, store)
+    silver_job(spark, calm)
+    for _ in range(2):  # the batch is written, and then written again in its place
+        process = child("silver", killed, folder, batch)
+        assert process.stdout.readline().strip() == "WRITTEN"
+        kill(process)
+        assert batch not in numbers(f"{killed.checkpoint('silver')}/commits")
+    silver_job(spark, killed)
+    # Rows without a full key are added by each batch that brings them, so they show a batch taken in twice.
+    want, got = (s.silver(spark).read(spark).select(*SALE_COLUMNS) for s in stores)
+    assert want.where("date_of_sale IS NULL").count() > 0
+    assert spark_bag(got) == spark_bag(want)
