@@ -19,7 +19,7 @@ differ, looks for the other.
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -37,9 +37,9 @@ GROUPS = 12
 SHARD_WORDS, SHARD_QUERIES = 8192, 1 << 17
 #: Different runs of letters a task counts in memory before it hands its counts on.
 MOST_RUNS = 1 << 19
-_QUERIES_AT_A_TIME = 8192
+_QUERIES_AT_A_TIME = 1 << 16
 #: A node with so few words is compared without going down further.
-_FEW = 6
+_FEW = 32
 _PAIR_BYTES = 1 << 22
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -326,7 +326,7 @@ def _routed(words: DataFrame, groups: int, shard_words: int, shard_queries: int)
 _NEAR = pa.schema([("word", pa.string()), ("near", pa.string()), ("near_n", pa.int64())])
 
 
-def _pairs_of(trie: Trie, members: list[str], member_n: np.ndarray, words: list[str], n: np.ndarray, half: str):
+def _pairs_of(trie: Trie, members: Sequence[str], member_n: np.ndarray, words: Sequence[str], n: np.ndarray, half: str):
     """Pairs in both directions, as batches."""
     by_size: dict[int, list[int]] = {}
     for i, word in enumerate(words):
@@ -346,27 +346,26 @@ def _pairs_of(trie: Trie, members: list[str], member_n: np.ndarray, words: list[
 
 def _search(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     """Near words within each node; a partition is sorted by node, part and half, its words before the queries."""
-    key, trie, members, member_n = None, None, [], np.zeros(0, np.int64)
+    key, trie, members, queries = None, None, [], []
+
+    def found() -> Iterator[pa.RecordBatch]:
+        nonlocal trie, queries
+        if members and queries:
+            trie = trie or Trie([word for word, _ in members], groups)
+            names, counts = zip(*members, strict=True)
+            words, n = zip(*queries, strict=True)
+            yield from _pairs_of(trie, names, np.array(counts, np.int64), words, np.array(n, np.int64), key[2])
+        queries = []
+
     for batch in batches:
-        names = ("node", "part", "half", "member", "word", "n")
-        node, part, half, member, word, n = (batch.column(name).to_pylist() for name in names)
-        n = np.array(n, np.int64)
-        keys = list(zip(node, part, half, member, strict=True))
-        starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
-        for low, high in zip(starts, [*starts[1:], len(keys)], strict=bool(keys)):
-            if key != (node[low], part[low], half[low]):
-                key, trie, members, member_n = (node[low], part[low], half[low]), None, [], np.zeros(0, np.int64)
-            if member[low]:
-                members += word[low:high]
-                member_n = np.concatenate([member_n, n[low:high]])
-                continue
-            if not members:
-                continue
-            if trie is None:
-                trie = Trie(members, groups)
-            for at in range(low, high, _QUERIES_AT_A_TIME):
-                upto = min(high, at + _QUERIES_AT_A_TIME)
-                yield from _pairs_of(trie, members, member_n, word[at:upto], n[at:upto], half[low])
+        columns = [batch.column(name).to_pylist() for name in ("node", "part", "half", "member", "word", "n")]
+        for *own, member, word, n in zip(*columns, strict=True):
+            if own != key or len(queries) == _QUERIES_AT_A_TIME:
+                yield from found()
+            if own != key:
+                key, trie, members = own, None, []
+            (members if member else queries).append((word, n))
+    yield from found()
 
 
 def near_words(
