@@ -1,10 +1,11 @@
 """Mixing sources to target weights, in blocks of words, with DataFrame operations only.
 
 The documents of a source, in the order of a hash of their id, make one long row of words that is cut
-into blocks of fixed length. A source takes part with a number of slots; slot k stands for block
-``(a * k + c) mod n`` of the source's n whole blocks, a permutation since ``a`` is a prime above n, with
-``a`` and ``c`` chosen by the source. After the whole blocks comes the shorter rest of the row, then the
-next pass begins. The last slot of a source is cut so that its words meet the target to the word.
+into blocks of fixed length. A source takes part with a number of slots; slot k stands for the block that a
+permutation of the source's n whole blocks puts at k. The permutation is a keyed Feistel network (see
+``permuted``), so any number of blocks is permuted without a table of them. After the whole blocks comes the
+shorter rest of the row, then the next pass begins. The last slot of a source is cut so that its words meet
+the target to the word.
 
 Each slot draws its output shard by a seeded hash, so the source counts of a shard are a multinomial
 draw, on condition that they add up to the source's slots over all shards: free draws would miss the
@@ -26,8 +27,9 @@ WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 BLOCK_WORDS = 1024
 SHARD_SLOTS = 1024
-#: Primes above any number of blocks that a source can have (10^9 blocks of 1,024 words).
-STEPS = (1_000_000_007, 1_000_000_009, 1_000_000_021, 1_000_000_033, 1_000_000_087)
+ROUNDS = 6
+#: Most steps of a walk back into the permuted range.
+MOST_STEPS = 64
 #: Slots that one row of the plan stands for before they are made.
 _SLOT_RUN = 4096
 
@@ -99,6 +101,44 @@ def _spans(sized: DataFrame) -> DataFrame:
     )
 
 
+def permuted(k: Column, n: Column, key: Column, rounds: int = ROUNDS) -> Column:
+    """The place of ``k`` in a pseudorandom permutation of 0..n-1 that ``key`` chooses.
+
+    A number below ``a * b`` is a row and a column of a table of a rows and b columns. Each round shifts one of
+    the two by a hash of the other, which can be undone, so the rounds permute the table. With ``a`` about the root
+    of n the table has less than a cells too many; a number that lands there is permuted
+    again, until it is below n. Such a walk visits each of these cells once at most, so up to 4,096 it is
+    sure to end within 64 steps; above, it ends by then but for a chance of less than 10^-100 a number,
+    and the query would fail and not go on with a wrong block.
+    """
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    b = _div(n + a - 1, a)
+
+    def shift(round_: int, other: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(round_)), other.cast("string")).cast("binary"))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+    def once(x: Column) -> Column:
+        row, column = _div(x, b), x % b
+        for r in range(rounds):
+            if r % 2:
+                column = (column + shift(r, row)) % b
+            else:
+                row = (row + shift(r, column)) % a
+        return row * b + column
+
+    left = F.least(a * b - n, F.lit(MOST_STEPS))
+    steps = F.when(left > 0, F.sequence(F.lit(1).cast("long"), left)).otherwise(F.array().cast("array<long>"))
+    found = F.aggregate(steps, once(k), lambda x, _: F.when(x < n, x).otherwise(once(x)))
+    lost = F.raise_error(F.lit("a walk of the permutation has not ended")).cast("long")
+    return F.when(found < n, found).otherwise(lost)
+
+
+def _div(x: Column, y: Column) -> Column:
+    """Whole quotient, without the detour over doubles."""
+    return F.call_function("div", x, y)
+
+
 def _slots(plan: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
     """Every slot of every source: its shard, block and number of words."""
     size, number = F.col("source_size"), F.col("number")
@@ -117,8 +157,8 @@ def _slots(plan: DataFrame, block_words: int, shard_slots: int, seed: int) -> Da
     first = F.col("run") * _SLOT_RUN
     slots = runs.withColumn("slot", F.explode(F.sequence(first, F.least(first + _SLOT_RUN, F.col("slots")) - 1)))
     k = F.col("slot") % F.col("blocks")
-    step = F.element_at(F.array(*(F.lit(s).cast("long") for s in STEPS)), (number % len(STEPS) + 1).cast("int"))
-    shuffled = (step * F.col("k") + number * 7919) % F.col("whole")
+    key = F.concat_ws("-", F.lit(str(seed)), number.cast("string"))
+    shuffled = permuted(F.col("k"), F.col("whole"), key)
     slots = slots.withColumn("k", k).withColumn("pass", F.floor(F.col("slot") / F.col("blocks")))
     length = F.least(F.lit(block_words).cast("long"), size - F.col("k") * block_words)
     left = F.when(F.col("pass") < F.col("passes"), length).otherwise(F.col("rest") - F.col("k") * block_words)

@@ -60,8 +60,18 @@ def op8_mixing_blocks(spark, sf):
     return mixing.taken_words(read(spark, sf, "documents"))
 
 
+def _rounds() -> str:
+    """The rounds of the permutation, one step for each."""
+    steps = []
+    for r in range(mixing.ROUNDS):
+        of, to, size = ("l", "r", "b") if r % 2 else ("r", "l", "a")
+        shift = f"('0x' || substr(md5('42-' || number || ':{r}:' || {of}), 1, 8))::BIGINT"
+        steps.append(f"round_{r + 1} AS (SELECT * REPLACE (({to} + {shift}) % {size} AS {to}) FROM round_{r}),")
+    return "\n".join([*steps, f"permutation AS (SELECT source, x, l * b + r AS y, whole FROM round_{mixing.ROUNDS}),"])
+
+
 ORACLES["op8_mixing_blocks"] = """
-WITH sized AS (
+WITH RECURSIVE sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
 ),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
@@ -89,13 +99,20 @@ slots AS (
     SELECT *, slot // blocks AS pass, slot % blocks AS k
     FROM (SELECT *, unnest(range(passes * blocks + (rest + 1023) // 1024)) AS slot FROM cut)
 ),
+table_of AS (SELECT source, number, whole, a, (whole + a - 1) // a AS b
+    FROM (SELECT *, ceil(sqrt(whole))::BIGINT AS a FROM cut WHERE whole > 0)),
+round_0 AS (SELECT *, x // b AS l, x % b AS r FROM (SELECT *, unnest(range(a * b)) AS x FROM table_of)),
+@ROUNDS@
+walk AS (
+    SELECT source, x AS k, y, whole FROM permutation WHERE x < whole
+    UNION ALL
+    SELECT w.source, w.k, p.y, w.whole FROM walk w JOIN permutation p ON w.source IS NOT DISTINCT FROM p.source AND w.y = p.x
+    WHERE w.y >= w.whole
+),
 takes AS (
-    SELECT source,
-        CASE WHEN k < whole
-            THEN ([1000000007, 1000000009, 1000000021, 1000000033, 1000000087][number % 5 + 1] * k + number * 7919) % whole
-            ELSE whole END AS block,
-        least(1024, source_size - k * 1024, CASE WHEN pass < passes THEN 1024 ELSE rest - k * 1024 END) AS take
-    FROM slots
+    SELECT s.source, CASE WHEN s.k < s.whole THEN w.y ELSE s.whole END AS block,
+        least(1024, source_size - s.k * 1024, CASE WHEN pass < passes THEN 1024 ELSE rest - s.k * 1024 END) AS take
+    FROM slots s LEFT JOIN walk w ON s.source IS NOT DISTINCT FROM w.source AND s.k = w.k AND w.y < w.whole
 ),
 spans AS (
     SELECT doc_id, source, size, coalesce(sum(size) OVER (
@@ -114,7 +131,7 @@ taken AS (
 )
 SELECT s.doc_id, s.size, p.source_size, p.target, coalesce(t.words, 0)::BIGINT AS taken
 FROM spans s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source LEFT JOIN taken t ON s.doc_id = t.doc_id
-"""
+""".replace("@ROUNDS@", _rounds())
 
 
 @registered

@@ -55,6 +55,35 @@ def test_reruns_agree(corpus):
     assert a == b
 
 
+def places(spark, rows, key="7"):
+    """Places of (k, n) rows in their permutations."""
+    frame = spark.createDataFrame(rows, "k long, n long").select("k", "n", mixing.permuted(F.col("k"), F.col("n"), F.lit(key)).alias("at"))
+    return {(r.k, r.n): r["at"] for r in frame.collect()}
+
+
+def test_any_number_of_blocks_is_permuted(on_workers):
+    sizes = [*range(1, 70), 97, 256, 1000, 4097]
+    got = places(on_workers, [(k, n) for n in sizes for k in range(n)])
+    for n in sizes:
+        assert sorted(got[k, n] for k in range(n)) == list(range(n))
+
+
+def test_permutations_look_random_and_differ(on_workers):
+    n = 1000
+    first, second = (places(on_workers, [(k, n) for k in range(n)], key) for key in ("42-0", "42-1"))
+    for got in (first, second):
+        steps = Counter((got[k + 1, n] - got[k, n]) % n for k in range(n - 1))
+        assert max(steps.values()) < 12 and len(steps) > 550
+    assert sum(first[k, n] == second[k, n] for k in range(n)) < 12
+
+
+def test_a_hundred_billion_blocks_and_more(on_workers):
+    for n in (10**11, 10**11 + 3, 10**15 + 7, 4 * 10**18):
+        some = sorted({*range(500), *(n - 1 - i for i in range(500)), *(n // 7 * i for i in range(7))})
+        got = places(on_workers, [(k, n) for k in some])
+        assert len(set(got.values())) == len(some) and all(0 <= at < n for at in got.values())
+
+
 def test_blocks_of_a_pass_are_a_permutation(on_workers, corpus):
     docs, _ = corpus
     made = mixing.mix(mixing._sized(docs), block_words=7, shard_slots=50)
