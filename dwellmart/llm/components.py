@@ -9,7 +9,7 @@ follows the logarithm of the longest chain, not its length.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellmart.llm.stored import stored
+from dwellmart.llm.stored import stored, temporary
 
 
 def component_of(links: DataFrame) -> DataFrame:
@@ -26,13 +26,14 @@ def component_of(links: DataFrame) -> DataFrame:
     while True:
         both = current.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(current.select("lo", "hi"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = stored(
-            both.where("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(),
-            "links",
-        )
-        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(low, "hi").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        current = stored(small.union(low.select("hi", "m")).distinct(), "links")
+        with temporary(links.sparkSession) as keep:
+            large = stored(
+                both.where("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(),
+                "links",
+            )
+            low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+            small = large.join(low, "hi").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+            current = keep(small.union(low.select("hi", "m")).distinct(), "links")
         before, mark = mark, current.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first()
         if before == mark:
             break

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.llm.components import component_of
-from dwellmart.llm.stored import runs, smallest_linked, stored
+from dwellmart.llm.stored import runs, smallest_linked, stored, temporary
 
 LEAST = 0.98
 TREES = 8
@@ -249,25 +249,29 @@ def near_duplicates(
     rows = vectors.select(
         "vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast(kind).alias("embedding")
     ).withColumn("usable", F.coalesce(usable, F.lit(False)))
-    classes = stored(
-        rows.where("usable")
-        .groupBy("label", "embedding")
-        .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
-        .select(
-            F.monotonically_increasing_id().alias("vector"), "label", F.size("embedding").cast("long").alias("dim"),
-            "embedding", "first_id", "copies",
-        ),
-        "classes",
-    )
-    members = stored(leaves(classes.select("vector", "label", "dim", "embedding"), least, trees, leaf, sample), "leaves")
-    found = stored(_compared(members, classes, least), "found")
-    counts = found.groupBy("vector").agg(F.sum("links").alias("links"))
-    components = component_of(found.where("other is not null").select(F.col("vector").alias("a"), F.col("other").alias("b")))
-    placed = classes.join(components, F.col("node") == F.col("vector"), "left").join(counts, "vector", "left").select(
-        F.col("label").alias("of_label"), F.col("embedding").alias("of_embedding"), "first_id", "copies",
-        F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "vector").alias("root"),
-    )
-    placed = stored(placed, "placed")
+    spark = vectors.sparkSession
+    with temporary(spark) as keep:
+        classes = stored(
+            rows.where("usable")
+            .groupBy("label", "embedding")
+            .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
+            .select(
+                F.monotonically_increasing_id().alias("vector"), "label", F.size("embedding").cast("long").alias("dim"),
+                "embedding", "first_id", "copies",
+            ),
+            "classes",
+        )
+        with temporary(spark) as keep_leaves:
+            found_leaves = leaves(classes.select("vector", "label", "dim", "embedding"), least, trees, leaf, sample)
+            members = keep_leaves(found_leaves, "leaves")
+        found = stored(_compared(members, classes, least), "found")
+        counts = found.groupBy("vector").agg(F.sum("links").alias("links"))
+        components = component_of(found.where("other is not null").select(F.col("vector").alias("a"), F.col("other").alias("b")))
+        placed = classes.join(components, F.col("node") == F.col("vector"), "left").join(counts, "vector", "left").select(
+            F.col("label").alias("of_label"), F.col("embedding").alias("of_embedding"), "first_id", "copies",
+            F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "vector").alias("root"),
+        )
+        placed = keep(placed, "placed")
     roots = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = placed.join(roots, "root").select(
         "of_label", "of_embedding", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"

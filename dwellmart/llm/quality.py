@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellmart.llm.stored import NOT_WHITE, stored
+from dwellmart.llm.stored import NOT_WHITE, stored, temporary
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Further measures that only rules use: lines with a word, upper-case letters, runs of symbols, sentence ends.
@@ -155,26 +155,27 @@ def fit(votes: DataFrame, names: list[str], rounds: int = ROUNDS) -> Fit:
     table of a few rows, not as literals, so that all rounds share their compiled code.
     """
     spark = votes.sparkSession
-    patterns = votes.groupBy(*names).agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id())
-    cast = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).cast("int").alias("vote")) for r in names)))
-    # At most 3^R patterns of R votes each: one task is enough.
-    cast_votes = stored(patterns.select("id", "n", cast.alias("one")).select("id", "n", "one.*"), "patterns").coalesce(1)
-    pattern = Window.partitionBy("id")
-
-    def sums(rows: DataFrame, good: Column) -> list:
-        weighed = rows.withColumn("p", good)
-        n, p = F.col("n"), F.col("p")
-        return weighed.groupBy("rule", "vote").agg(F.sum(n * p).alias("good"), F.sum(n * (1 - p)).alias("bad")).collect()
-
-    found = _rates(sums(cast_votes, F.when(F.min("vote").over(pattern) == -1, 0.1).otherwise(0.9)), names)
-    for _ in range(rounds):
-        rows = ", ".join(
-            f"('{rule}', {v}, {gain!r}D, {found.prior!r}D)" for rule in names for v, gain in found.gains(rule).items()
-        )
-        gains = F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS gains(rule, vote, gain, prior)"))
-        odds = F.sum("gain").over(pattern) + F.col("prior")
-        found = _rates(sums(cast_votes.join(gains, ["rule", "vote"]), 1 / (1 + F.exp(-odds))), names)
-    return found
+    with temporary(spark):
+        patterns = votes.groupBy(*names).agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id())
+        cast = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).cast("int").alias("vote")) for r in names)))
+        # At most 3^R patterns of R votes each: one task is enough.
+        cast_votes = stored(patterns.select("id", "n", cast.alias("one")).select("id", "n", "one.*"), "patterns").coalesce(1)
+        pattern = Window.partitionBy("id")
+
+        def sums(rows: DataFrame, good: Column) -> list:
+            weighed = rows.withColumn("p", good)
+            n, p = F.col("n"), F.col("p")
+            return weighed.groupBy("rule", "vote").agg(F.sum(n * p).alias("good"), F.sum(n * (1 - p)).alias("bad")).collect()
+
+        found = _rates(sums(cast_votes, F.when(F.min("vote").over(pattern) == -1, 0.1).otherwise(0.9)), names)
+        for _ in range(rounds):
+            rows = ", ".join(
+                f"('{rule}', {v}, {gain!r}D, {found.prior!r}D)" for rule in names for v, gain in found.gains(rule).items()
+            )
+            gains = F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS gains(rule, vote, gain, prior)"))
+            odds = F.sum("gain").over(pattern) + F.col("prior")
+            found = _rates(sums(cast_votes.join(gains, ["rule", "vote"]), 1 / (1 + F.exp(-odds))), names)
+        return found
 
 
 def _judged(docs: DataFrame, keep: Column, least: float) -> DataFrame:

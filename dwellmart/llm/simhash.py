@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.llm.components import component_of
-from dwellmart.llm.stored import runs, smallest_linked, stored, table, text_bytes, with_row_key
+from dwellmart.llm.stored import runs, smallest_linked, stored, table, temporary, text_bytes, with_row_key
 
 LANES, LANE_BITS = 4, 16
 VALUES = 1 << LANE_BITS
@@ -253,13 +253,14 @@ def print_links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
 
 def _groups(prints: DataFrame, max_bits: int) -> DataFrame:
     """(print, id) rows -> (print, first): the smallest id of the group of each distinct fingerprint."""
-    classes = stored(prints.groupBy("print").agg(F.min("id").alias("id")), "classes")
-    components = component_of(print_links(classes.select("print"), max_bits))
-    placed = classes.join(components, F.col("node") == F.col("print"), "left").select(
-        "print", "id", F.coalesce("component", "print").alias("root")
-    )
-    roots = placed.groupBy("root").agg(F.min("id").alias("first"))
-    return stored(placed.join(roots, "root").select("print", "first"), "groups")
+    with temporary(prints.sparkSession) as keep:
+        classes = stored(prints.groupBy("print").agg(F.min("id").alias("id")), "classes")
+        components = component_of(print_links(classes.select("print"), max_bits))
+        placed = classes.join(components, F.col("node") == F.col("print"), "left").select(
+            "print", "id", F.coalesce("component", "print").alias("root")
+        )
+        roots = placed.groupBy("root").agg(F.min("id").alias("first"))
+        return keep(placed.join(roots, "root").select("print", "first"), "groups")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellmart.llm.stored import stored, text_bytes
+from dwellmart.llm.stored import stored, temporary, text_bytes
 
 LEAST_LETTERS, LEAST_COUNT = 6, 5
 #: A form has to be so many times as frequent as its variant.
@@ -392,19 +392,20 @@ def variants(words: DataFrame, ratio: int = FORM_RATIO, **options) -> DataFrame:
     is ``ratio`` times as frequent as the word, else NULL; ``root`` is where following forms ends.
     No words give no rows.
     """
-    words = stored(words.select("word", "n"), "counted")
-    best = F.min(F.struct((-F.col("near_n")).alias("rarer"), "near"))
-    near = near_words(words, **options).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
-    frequent = -F.col("best.rarer") >= ratio * F.col("n")
-    formed = words.join(near, "word", "left").select(
-        "word",
-        "n",
-        F.coalesce("n_near", F.lit(0)).alias("n_near"),
-        F.when(frequent, F.col("best.near")).alias("form"),
-        F.when(frequent, -F.col("best.rarer")).alias("form_n"),
-    )
-    formed = stored(formed, "formed")
-    roots = root_of(formed.where("form IS NOT NULL").select("word", "form"))
+    with temporary(words.sparkSession) as keep:
+        words = stored(words.select("word", "n"), "counted")
+        best = F.min(F.struct((-F.col("near_n")).alias("rarer"), "near"))
+        near = near_words(words, **options).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
+        frequent = -F.col("best.rarer") >= ratio * F.col("n")
+        formed = words.join(near, "word", "left").select(
+            "word",
+            "n",
+            F.coalesce("n_near", F.lit(0)).alias("n_near"),
+            F.when(frequent, F.col("best.near")).alias("form"),
+            F.when(frequent, -F.col("best.rarer")).alias("form_n"),
+        )
+        formed = keep(formed, "formed")
+        roots = keep(root_of(formed.where("form IS NOT NULL").select("word", "form")), "roots")
     return formed.join(roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

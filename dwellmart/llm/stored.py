@@ -1,26 +1,56 @@
 """Helpers of this subpackage: stored intermediate tables, fold numbers, runs of equal keys."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmart.session import shared_folder
+from dwellmart.session import discard, shared_folder
 
 #: Words are runs of anything but these characters, in the operators that split at white space.
 NOT_WHITE = r"[^\x20\x09-\x0D]+"
 
 
+#: Folders stored in each block of ``temporary`` that is open, the innermost last.
+_BLOCKS: list[list[str]] = []
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame, written once to the shared folder and read back: its lineage ends there."""
     path = shared_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
+    if _BLOCKS:
+        _BLOCKS[-1].append(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Remove at the end of the block what ``stored`` has stored in it.
+
+    Yields a function that stores what is needed after the block; it belongs to the block around, if any.
+    Frames over other tables of the block are not to be run later.
+    """
+    _BLOCKS.append([])
+
+    def keep(frame: DataFrame, purpose: str) -> DataFrame:
+        inner = _BLOCKS.pop()
+        try:
+            return stored(frame, purpose)
+        finally:
+            _BLOCKS.append(inner)
+
+    try:
+        yield keep
+    finally:
+        for path in _BLOCKS.pop():
+            discard(spark, path)
+
+
 def with_row_key(docs: DataFrame, purpose: str) -> DataFrame:
     """The rows as a struct ``doc``, with a ``row`` key that is the same whenever the frame is read.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellmart.llm.stored import fold, stored, text_bytes
+from dwellmart.llm.stored import fold, stored, temporary, text_bytes
 
 BITS = 20
 MOST_TEXTS = 12_000
@@ -153,19 +153,20 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, passes: int = PASS
 
     An id is one example: of several different texts of one id, that with the least hash is learnt from.
     """
-    chosen = training_rows(labels, most=most)
-    # The labels side has at most about `most` rows of 16 bytes.
-    texts = docs.select("doc_id", text_bytes(F.col("text")).alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("label_id")
-    )
-    # Combined before the shuffle, so the copies of one id are one row of each task.
-    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
-    texts = texts.groupBy("label_id", "toxic", "place").agg(first)
-    examples = texts.select("text", "toxic", "place").mapInArrow(partial(_examples, bits=bits), _EXAMPLES)
-    rows = examples.repartition(1).sortWithinPartitions("place", "toxic").mapInArrow(
-        partial(_train, bits=bits, passes=passes), _WEIGHTS
-    )
-    found = stored(rows, "weights").toArrow().sort_by("feature")
+    with temporary(docs.sparkSession):
+        chosen = training_rows(labels, most=most)
+        # The labels side has at most about `most` rows of 16 bytes.
+        texts = docs.select("doc_id", text_bytes(F.col("text")).alias("text")).join(
+            F.broadcast(chosen), F.col("doc_id") == F.col("label_id")
+        )
+        # Combined before the shuffle, so the copies of one id are one row of each task.
+        first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+        texts = texts.groupBy("label_id", "toxic", "place").agg(first)
+        examples = texts.select("text", "toxic", "place").mapInArrow(partial(_examples, bits=bits), _EXAMPLES)
+        rows = examples.repartition(1).sortWithinPartitions("place", "toxic").mapInArrow(
+            partial(_train, bits=bits, passes=passes), _WEIGHTS
+        )
+        found = stored(rows, "weights").toArrow().sort_by("feature")
     feature, weight = found["feature"].to_numpy(), found["weight"].to_numpy()
     last = 1 << bits
     return Model(
