@@ -38,7 +38,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--kafka", metavar="SERVERS", help="use a Kafka topic at these brokers")
     parser.add_argument("--starting-offsets", default="earliest", help="where a new Bronze stream starts in Kafka")
-    parser.add_argument("--trigger", default="once", help="once, or anything else for a periodic Bronze stream")
+    parser.add_argument("--starting-time", help="time of the first message that a new Bronze stream takes in")
+    parser.add_argument(
+        "--trigger", default="once", help="once; until_idle: periodic until nothing is new; anything else: periodic"
+    )
     parser.add_argument("--period", default=PERIOD)
     parser.add_argument("--master")
     options = parser.parse_args(argv)
@@ -56,6 +59,7 @@ def store_of(options: argparse.Namespace) -> Store:
         {"maxFilesPerTrigger": options.max_files},
         "kafka" if options.kafka else "parquet",
         kafka if options.kafka else {},
+        options.starting_time,
     )
 
 

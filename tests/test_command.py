@@ -27,3 +27,8 @@ def test_kafka_options_reach_the_store():
     store = store_of(arguments(["bronze", "--root", "x", "--kafka", "b:9092", "--topic", "sales", "--max-files", "5"]))
     assert (store.topic_format, store.topic, store.read_options) == ("kafka", "sales", {"maxFilesPerTrigger": 5})
     assert store.topic_options == {"kafka.bootstrap.servers": "b:9092", "startingOffsets": "earliest"}
+
+
+def test_a_start_time_reaches_the_store():
+    assert store_of(arguments(["bronze", "--root", "x"])).topic_start is None
+    assert store_of(arguments(["bronze", "--root", "x", "--starting-time", "2024-05-01"])).topic_start == "2024-05-01"
