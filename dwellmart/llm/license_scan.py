@@ -1,14 +1,14 @@
 """License scans by ordered signature rules: regular expressions behind a keyword gate.
 
 A text is read as its words, lower-cased and parted by single spaces; rules look at that form. A rule has
-a label, a priority, a weight (how sure it is) and keywords: it is tried only on texts in which one of its
-keywords stands, which one Aho-Corasick pass over the text finds for all rules. Detections overlap, as
+a label, a priority, a weight (how sure it is) and keywords: it is tried only on texts in which all of its
+keywords stand, which one Aho-Corasick pass over the text finds for all rules. Detections overlap, as
 "gnu lesser general public license version 3" holds two names; of two detections one of which lies
 within the other, the one of higher priority stays, and among equals the longer, then the earlier.
 
-The rules are made from two tables, the licenses with their spellings and versions and the phrases that
-licenses are named in. The base phrases are rules too, but their labels and places are never
-suppressed.
+What licenses say is written out rule by rule in ``license_signatures``. What they are called comes from two tables
+here, the licenses with their spellings and versions and the phrases that licenses are named in. The
+base phrases are rules too, but their labels and places are never suppressed.
 """
 
 import re
@@ -21,6 +21,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from dwellmart.llm.license_signatures import SIGNATURES
 from dwellmart.llm.stored import text_bytes
 
 #: Phrases whose every place counts, and their labels.
@@ -135,6 +136,7 @@ def rules() -> tuple[Rule, ...]:
                     made.append(Rule(lic.label, frame.format(id=tagged), _keywords(stem), priority + 1, weight))
                 made.append(Rule(lic.label, frame.format(id=stem), _keywords(stem), priority, weight))
     made += [Rule(label, pattern, _keywords(pattern), 5, 0.9) for label, pattern in NOTICES]
+    made += [Rule(label, pattern, keywords, priority, weight) for label, priority, weight, keywords, pattern in SIGNATURES]
     return tuple(sorted(made, key=lambda rule: -rule.priority))
 
 
@@ -155,17 +157,21 @@ class Scanner:
     def __init__(self):
         self.rules = [(rule, re.compile(rf"(?<![^ ]){rule.pattern}(?![^ ])".encode())) for rule in rules()]
         self.gate = ahocorasick.Automaton()
-        by_word: dict[str, list[int]] = {}
+        keywords = sorted({word for rule, _ in self.rules for word in rule.keywords})
+        number = {word: i for i, word in enumerate(keywords)}
+        #: The rules by the first of their keywords, with the others.
+        self.by_word: list[list[tuple[int, frozenset[int]]]] = [[] for _ in keywords]
         for i, (rule, _) in enumerate(self.rules):
-            for word in rule.keywords:
-                by_word.setdefault(word, []).append(i)
-        for word, numbers in by_word.items():
-            self.gate.add_word(word, tuple(numbers))
+            first, *others = (number[word] for word in rule.keywords)
+            self.by_word[first].append((i, frozenset(others)))
+        for word, i in number.items():
+            self.gate.add_word(word, i)
         self.gate.make_automaton()
 
     def detections(self, form: bytes) -> list[Found]:
         """What is left after suppression, by place."""
-        due = {i for _, numbers in self.gate.iter(form.decode("latin-1")) for i in numbers}
+        held = {word for _, word in self.gate.iter(form.decode("latin-1"))}
+        due = [i for word in held for i, others in self.by_word[word] if others <= held]
         found = [
             Found(rule.label, match.start(), match.end(), rule.priority, rule.weight)
             for i in sorted(due)

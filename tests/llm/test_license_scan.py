@@ -98,3 +98,75 @@ def test_spans_stand_where_their_words_do():
         ("apache", b"apache license version 2 0"),
         ("mit", b"spdx license identifier mit"),
     ]
+
+
+NOTICES = {
+    "gpl": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+        Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option)
+        any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+        even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "lgpl": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser
+        General Public License. You should have received a copy of the GNU Lesser General Public License along with it.""",
+    "agpl": "You should have received a copy of the GNU Affero General Public License along with this program.",
+    "apache": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is
+        distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation
+        the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "bsd,bsd-3-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that:
+        Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. Neither the name of the University nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies.""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software. The origin of this software must not be misrepresented; you
+        must not claim that you wrote the original software.""",
+    "mpl": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "perl": "It is free software; you can redistribute it and/or modify it under the same terms as Perl itself.",
+    "cc-by-nc-sa": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "boost": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license""",
+    "mit,apache-or-mit": "Licensed under either of Apache License, Version 2.0 or MIT license at your option.",
+    "proprietary": "Unauthorized copying of this file, via any medium is strictly prohibited. Proprietary and confidential.",
+    "wtfpl": "You just DO WHAT THE FUCK YOU WANT TO.",
+    "linux-syscall-note": "NOTE! This copyright does *not* cover user programs that use kernel services by normal system calls",
+}
+
+
+def test_labels_of_real_notices():
+    for want, text in NOTICES.items():
+        row = scan.scan_text(text.encode())
+        said = set(row["labels"].split(","))
+        assert set(want.split(",")) <= said, (want, said)
+        assert row["score"] >= 0.85, want
+    assert scan.scan_text(NOTICES["gpl"].encode())["labels"] == "gpl"
+    assert scan.scan_text(NOTICES["apache"].encode())["labels"] == "apache"
+    assert scan.scan_text(NOTICES["lgpl"].encode())["labels"] == "lgpl"
+    assert scan.scan_text(NOTICES["zlib"].encode())["labels"] == "zlib"
+
+
+def test_a_wider_notice_wins_over_the_name_in_it():
+    row = scan.scan_text(NOTICES["agpl"].encode())
+    assert [(s["label"], s["first_word"]) for s in row["spans"]] == [("agpl", 0)]
+
+
+def test_signatures_hold_their_keywords_and_say_one_thing():
+    assert len(scan.SIGNATURES) > 150 and len({s[4] for s in scan.SIGNATURES}) == len(scan.SIGNATURES)
+    for label, priority, weight, keywords, pattern in scan.SIGNATURES:
+        assert re.compile(pattern) and keywords and 5 <= priority <= 9 and 0.5 < weight <= 1, label
+        assert not re.search("[A-Z,;()]", re.sub(r"\(\?:|\)|\{\d+,\d+\}|\\d", "", pattern)), pattern
+
+
+def test_clean_prose_has_no_license():
+    for text in (
+        "We granted the team permission to use the kitchen and sell cakes.", "The warranty of the car is void.", "Rights and duties.",
+        "He licensed a song and distributed copies of the tape.", "Public data, open to all; no fee.", "The Apache helicopter, 2.0 tons.",
+    ):
+        assert scan.scan_text(text.encode())["labels"] == "", text
