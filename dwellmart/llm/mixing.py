@@ -114,18 +114,22 @@ def permuted(k: Column, n: Column, key: Column, rounds: int = ROUNDS) -> Column:
     a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
     b = _div(n + a - 1, a)
 
-    def shift(round_: int, other: Column) -> Column:
-        digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(round_)), other.cast("string")).cast("binary"))
+    def shift(round_: Column, other: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", key.cast("string"), round_.cast("string"), other.cast("string")).cast("binary"))
         return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
+    def one_round(at: Column, round_: Column) -> Column:
+        row, column, even = at["row"], at["column"], round_ % 2 == 0
+        return F.struct(
+            F.when(even, (row + shift(round_, column)) % a).otherwise(row).alias("row"),
+            F.when(even, column).otherwise((column + shift(round_, row)) % b).alias("column"),
+        )
+
     def once(x: Column) -> Column:
-        row, column = _div(x, b), x % b
-        for r in range(rounds):
-            if r % 2:
-                column = (column + shift(r, row)) % b
-            else:
-                row = (row + shift(r, column)) % a
-        return row * b + column
+        # A fold, so that each round's hash is taken once and not once for every later use of it.
+        begin = F.struct(_div(x, b).alias("row"), (x % b).alias("column"))
+        numbers = F.sequence(F.lit(0), F.lit(rounds - 1))
+        return F.aggregate(numbers, begin, one_round, lambda at: at["row"] * b + at["column"])
 
     left = F.least(a * b - n, F.lit(MOST_STEPS))
     steps = F.when(left > 0, F.sequence(F.lit(1).cast("long"), left)).otherwise(F.array().cast("array<long>"))
@@ -153,7 +157,9 @@ def _slots(plan: DataFrame, block_words: int, shard_slots: int, seed: int) -> Da
     rows = rows.withColumn("slots", F.col("passes") * F.col("blocks") + F.ceil(F.col("rest") / block_words))
     rows = rows.withColumn("all_slots", F.sum("slots").over(Window.partitionBy(F.lit(0)))).where("slots > 0")
     runs = rows.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _SLOT_RUN))))
-    runs = runs.repartition("number", "run")
+    # So many tasks as the session says: the rows are few but each makes many slots.
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(tasks, "number", "run")
     first = F.col("run") * _SLOT_RUN
     slots = runs.withColumn("slot", F.explode(F.sequence(first, F.least(first + _SLOT_RUN, F.col("slots")) - 1)))
     k = F.col("slot") % F.col("blocks")
