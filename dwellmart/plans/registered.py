@@ -4,6 +4,7 @@ Every query takes ``(spark, sf_dir)``, reads whole tables and returns a lazy Dat
 stored tables and streams first run their jobs in a new folder of the shared folder.
 """
 
+import time
 from dataclasses import replace
 from functools import reduce
 
@@ -35,7 +36,7 @@ from dwellmart.sources.counties import county_coordinates
 from dwellmart.sources.sales_csv import scan_sales_csv, write_sales_csv
 from dwellmart.sources.surrogate import raw_sales
 from dwellmart.sources.tables import read_table, replace_table, stream_table
-from dwellmart.sources.topic import message_key, read_topic, stream_topic, to_envelopes
+from dwellmart.sources.topic import CLOCK, message_key, read_topic, stream_topic, to_envelopes
 from dwellmart.streaming.bronze import bronze_rows, rename_headers
 from dwellmart.streaming.silver import silver_rows, start_silver
 
@@ -246,12 +247,18 @@ def stream_start_position(spark, sf):
 
 @registered
 def periodic_trigger(spark, sf):
-    """A periodic stream over two publishes, a file at a time, that ends itself when nothing new is found."""
+    """A periodic stream over two publishes, one at a time, that ends itself when nothing new is found.
+
+    The stream takes as many files in a batch as the first publish has, the oldest first. The second has no more than
+    that, and all of its files are later, also where times are kept in whole seconds.
+    """
     store = new_store(spark)
-    once = raw_sales(spark, sf, deliveries=1).coalesce(1)
-    for _ in range(2):
-        publish_job(once, store)
-    paced = replace(store, topic_options={"maxFilesPerTrigger": 1})
+    once = raw_sales(spark, sf, deliveries=1)
+    publish_job(once, store)
+    files = len(read_topic(spark, store.topic).inputFiles())
+    time.sleep(CLOCK.total_seconds())
+    publish_job(once.coalesce(files), store)
+    paced = replace(store, topic_options={"maxFilesPerTrigger": files})
     batches = bronze_job(spark, paced, "until_idle", "1 second")
     rows = [(batch.batch_id, batch.read) for batch in batches]
     return spark.createDataFrame(rows, "batch bigint, rows_read bigint")

@@ -25,7 +25,7 @@ MOST_TASKS = 1 << 20
 #: Where the highest offset is noted; readers of the topic pass by names that begin like this.
 _MARKS = "_marks"
 #: A store may keep whole seconds of the time of a file only.
-_CLOCK = timedelta(seconds=2)
+CLOCK = timedelta(seconds=2)
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,7 @@ def next_offset(spark: SparkSession, source: str) -> int:
     if notes is not None:
         noted, at = notes.agg(F.max("last_offset"), F.max("_metadata.file_modification_time")).first()
         zone = spark.conf.get("spark.sql.session.timeZone")
-        since = notes.select(F.date_format(F.lit(at - _CLOCK), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+        since = notes.select(F.date_format(F.lit(at - CLOCK), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
         reader = reader.option("modifiedAfter", since).option("timeZone", zone)
     messages = if_present(lambda: reader.parquet(source))
     newer = None if messages is None else messages.agg(F.max("offset")).first()[0]
