@@ -15,7 +15,7 @@ before it.
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache, partial
 
 import numpy as np
@@ -37,9 +37,12 @@ GRID = 32
 MOST_WORDS, LONGEST_WORD = 1 << 20, 64
 #: Characters that are tokenized at a time.
 _SLICE = 1 << 20
+#: Characters of short texts whose new words are learned together.
+_GROUP = 1 << 18
 _ODD_SPACE = re.compile(r" (?:\s|$)")
-#: Letters with a few marks behind them.
-_MARKED = re.compile(r"([^\W\d_]+)([.,!?;:]{1,3})")
+#: Letters, marks behind them if any, and the same again on a new line if there is one. A mark is no apostrophe.
+_LETTERS, _MARKS = r"[^\W\d_]+", r"[!-&(-/:-@\[-^`{-~]"
+_PARTED = re.compile(rf"({_LETTERS})(?:({_MARKS}{{1,3}})|({_MARKS}{{0,3}})(\n{_LETTERS})({_MARKS}{{0,3}}))")
 _SPACE_BEFORE_WORD = re.compile(r" (?=\S)")
 
 
@@ -51,63 +54,111 @@ class Tokenizer:
 
         self.loaded = Loaded.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-        self.parting = int(self._encode("\r")[0])
+        self.marks: dict[str, bytes] = {"": b""}
+        tokens = self.loaded.get_vocab().items()
+        self.after_space = np.zeros(self.loaded.get_vocab_size(), bool)
+        self.after_space[[i for token, i in tokens if token.startswith("\u0120")]] = True  # the space there
+        self.new_line = self._encode("\n")[0]
 
     def _encode(self, text: str) -> np.ndarray:
         # This call leaves out the places of the tokens in the text.
         return np.array(self.loaded.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
-        """Ids of words with the space before them, all in one call: a carriage return parts them.
+    def _learn(self, words: Iterable[str], known: dict[str, bytes]) -> None:
+        """Ids of words with the space before them. Words without another space are learned in one call, where
+        each begins with a token that begins with its space.
 
-        Letters and the marks behind them are split by the tokenizer, so such a word is put together from
-        its letters, which are often known or new in another form too, and its marks.
+        The tokenizer splits between letters, marks and a line break, so a word of these is put together from
+        its parts, which are often known or new in another form too. Letters on a new line are known with their
+        line break.
         """
-        plain, odd, marked = {}, [], []
+        plain, lines, odd, parted = {}, {}, [], []
+        match = _PARTED.fullmatch
         for word in words:
-            parts = _MARKED.fullmatch(word)
+            if word.isalpha():
+                plain[word] = None
+                continue
+            parts = match(word)
             if parts is not None:
-                marked.append((word, *parts.groups()))
-                plain[parts[1]] = None
-            elif "\r" in word or word[-1:].isspace():
+                letters, marks, more, line, last = parts.groups("")
+                parted.append((word, letters, marks or more, line, last))
+                if letters not in known:
+                    plain[letters] = None
+                if line and line not in known:
+                    lines[line] = None
+            elif " " in word or word[-1:].isspace():
                 odd.append(word)
             else:
                 plain[word] = None
-        plain = [word for word in plain if word not in known]
         if plain:
-            ids = self._encode(" " + "\r ".join(plain))
-            ends = np.append(np.flatnonzero(ids == self.parting), len(ids)).tolist()
-            raw, start = ids.tobytes(), 0
-            for word, end in zip(plain, ends, strict=True):
-                known[word] = raw[4 * start : 4 * end]
-                start = end + 1
+            ids = self._encode(" " + " ".join(plain))
+            self._keep(plain, ids, self.after_space[ids], known)
+        if lines:
+            ids = self._encode("".join(lines))
+            self._keep(lines, ids, ids == self.new_line, known)
         for word in odd:
             known[word] = self._encode(f" {word}").tobytes()
-        for word, letters, marks in marked:
-            if marks not in self.marks:
-                self.marks[marks] = self._encode(marks).tobytes()
-            known[word] = known[letters] + self.marks[marks]
+        for word, letters, marks, line, last in parted:
+            for some in (marks, last):
+                if some not in self.marks:
+                    self.marks[some] = self._encode(some).tobytes()
+            ids = known[letters] + self.marks[marks]
+            known[word] = ids + known[line] + self.marks[last] if line else ids
+
+    @staticmethod
+    def _keep(words: Iterable[str], ids: np.ndarray, begins: np.ndarray, known: dict[str, bytes]) -> None:
+        starts = (4 * np.flatnonzero(begins)).tolist()
+        raw = ids.tobytes()
+        for word, start, end in zip(words, starts, [*starts[1:], len(raw)], strict=True):
+            known[word] = raw[start:end]
 
     def ids(self, text: str) -> bytes:
-        return b"".join(self._slice(part) for part in _slices(text))
-
-    def _slice(self, text: str) -> bytes:
-        first, *words = _SPACE_BEFORE_WORD.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+        return next(self.ids_of([text]))
+
+    def ids_of(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text in turn. New words of several short texts are learned together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size > _SLICE:
+                *short, text = held
+                yield from self._together(short)
+                yield b"".join(self._together([part])[0] for part in _slices(text))
+            elif size >= _GROUP:
+                yield from self._together(held)
+            else:
+                continue
+            held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        firsts, words, ends = [], [], []
+        for text in texts:
+            first, *rest = _SPACE_BEFORE_WORD.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+            firsts.append(first)
+            words += rest
+            ends.append(len(words))
         if len(self.known) > MOST_WORDS:
             self.known.clear()
         known = self.known
-        new = set(words).difference(known)
-        if new:
-            self._learn(list(new), known)
-        ids = self._encode(first).tobytes() + b"".join(map(known.__getitem__, words))
-        for word in new:
-            if len(word) > LONGEST_WORD:
-                known.pop(word, None)
-                parts = _MARKED.fullmatch(word)
-                if parts is not None:
-                    known.pop(parts[1], None)
-        return ids
+        found = list(map(known.get, words))
+        missing = [place for place, ids in enumerate(found) if ids is None]
+        if missing:
+            new = {words[place] for place in missing}
+            self._learn(new, known)
+            for place in missing:
+                found[place] = known[words[place]]
+            for word in new:
+                if len(word) > LONGEST_WORD:
+                    parts = _PARTED.fullmatch(word)
+                    for some in (word, *(parts.group(1, 4) if parts is not None else ())):
+                        known.pop(some, None)
+        starts = [0, *ends]
+        return [
+            self._encode(first).tobytes() + b"".join(found[start:end])
+            for first, start, end in zip(firsts, starts, ends)
+        ]
 
     def sentence_ends(self) -> np.ndarray:
         """For each id, whether a sentence may end after it."""
@@ -225,8 +276,9 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, shard_windo
     end = np.array([END_ID], "<u4").tobytes()
     shard, held = [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-            ids = tokenizer.ids(text.as_py().decode("utf-8", "replace")) + end
+        texts = (text.as_py().decode("utf-8", "replace") for text in batch.column(1))
+        for doc_id, ids in zip(batch.column(0), tokenizer.ids_of(texts), strict=True):
+            ids += end
             shard.append((doc_id.as_py(), ids))
             held += len(ids) // 4
             if held >= shard_windows * window:

@@ -36,6 +36,19 @@ def test_ids_of_long_texts_and_special_strings(monkeypatch):
     assert [np.frombuffer(packing.Tokenizer(PATH).ids(t), "<u4").tolist() for t in texts] == want
 
 
+def test_new_words_of_several_texts_are_encoded_together_and_by_their_parts(monkeypatch):
+    own, encoded = packing.Tokenizer(PATH), []
+    plain_encode = own._encode
+    monkeypatch.setattr(own, "_encode", lambda text: encoded.append(text) or plain_encode(text))
+    words = ["alpha", "alpha.", "alpha$$$", "alpha.\nBravo", "alpha\nBravo,", "x \ny", "bravo's", "ab<|endoftext|>", "é²\n9a!"]
+    texts = [f"First {word} charlie{chr(97 + n)}" for n, word in enumerate(words * 2)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in own.ids_of(texts)]
+    assert got == [plain_ids(text) for text in texts]
+    rest = [text for text in encoded if text != "First"]
+    assert len(rest) < len(texts) and sum(text.count("alpha") for text in rest) == 1
+    assert "\r" not in "".join(encoded)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 8), st.integers(0, 5)), min_size=1, max_size=14), st.integers(8, 12))
 def test_cheapest_cuts_of_all_choices(steps, window):
