@@ -197,17 +197,21 @@ def cheapest_cuts(at: list[int], penalty: list[int], window: int) -> list[int]:
     window. The tail of the last window is padding too.
     """
     n = len(at)
-    cost, before, key = [0] * n, [0] * n, [0] * n
+    # The cost of the windows up to a cut plus its place, which is so much a window and the penalties.
+    key, before = [0] * n, [0] * n
     queue = deque([0])
+    i, reach, cost = 0, window, window
     for j in range(1, n):
         place = at[j]
-        while at[queue[0]] < place - window:
-            queue.popleft()
-        i = queue[0]
+        if place > reach:
+            while at[queue[0]] < place - window:
+                queue.popleft()
+            i = queue[0]
+            reach, cost = at[i] + window, key[i] + window
         before[j] = i
-        cost[j] = key[i] + window - place + penalty[j]
-        key[j] = cost[j] + place
-        while queue and key[queue[-1]] >= key[j]:
+        key[j] = new = cost + penalty[j]
+        # The head costs a window less and stays.
+        while key[queue[-1]] >= new:
             queue.pop()
         queue.append(j)
     path = [n - 1]
